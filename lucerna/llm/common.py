@@ -127,3 +127,50 @@ def shingles(h: np.ndarray, k: int = 5) -> np.ndarray:
 
 def as_long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
+
+
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base^i and base^-i modulo 2^64 for i < n (base odd)."""
+    if base not in _POWERS or len(_POWERS[base][0]) < n:
+        size = max(n, 1 << 16)
+        both = []
+        for b in (base, pow(base, -1, 1 << 64)):
+            x = np.full(size, b, np.uint64)
+            x[0] = 1
+            both.append(np.cumprod(x, dtype=np.uint64))
+        _POWERS[base] = tuple(both)
+    p, q = _POWERS[base]
+    return p[:n], q[:n]
+
+
+def window_hashes(values: np.ndarray, width: int, base: int) -> np.ndarray:
+    """A polynomial hash of every `width` consecutive 64-bit values."""
+    n = len(values)
+    if n < width:
+        return np.zeros(0, np.uint64)
+    p, inverse = powers(base, n)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * p, dtype=np.uint64)])
+    return mix((total[width:] - total[:-width]) * inverse[: n - width + 1])
+
+
+def range_minima(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """min(values[a:b]) for each pair, all with a < b (doubling tables)."""
+    out, level = np.zeros(len(a), values.dtype), np.frexp((b - a).astype(np.float64))[1] - 1
+    table = values
+    for j in range(int(level.max(initial=-1)) + 1):
+        own = np.flatnonzero(level == j)
+        out[own] = np.minimum(table[a[own]], table[b[own] - (1 << j)])
+        table = np.minimum(table[: len(table) - (1 << j)], table[1 << j :])
+    return out
+
+
+def spans_of(places: np.ndarray, width: int) -> list[tuple[int, int]]:
+    """The maximal runs covered by windows of the width that start at the places."""
+    if not len(places):
+        return []
+    x = np.unique(places)
+    cut = np.flatnonzero(np.diff(x) > width)
+    return list(zip(x[np.concatenate([[0], cut + 1])].tolist(), (x[np.concatenate([cut, [len(x) - 1]])] + width).tolist()))
