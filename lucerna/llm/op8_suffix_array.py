@@ -3,7 +3,7 @@
 A 400-byte string is keyed by the least hash of its 24-byte substrings, so equal strings have equal keys wherever they stand.
 Neighbouring strings of one key make a segment of a document.
 
-1. The keys of all segments meet; a key with one segment rules its strings out.  Of equal documents one stands for all: each byte of
+1. The keys of all segments meet; a key that stands in one place only rules its strings out.  Of equal documents one stands for all: each byte of
    each of them goes if they are long enough.
 2. Segments with shared keys are brought together by key, equal contents once with their number, and cut at keys into shards of about
    `shard` bytes.  A shard's suffixes are ordered by induced sorting (induced.py), whose queues go to disk beyond `memory` bytes, so a
@@ -33,40 +33,44 @@ WIDTH, GRAM = 400, 24
 SHARD, MEMORY = 2 << 20, 64 << 20
 NOTHING = hashlib.sha256(b"").hexdigest()
 BASE = 0x9E3779B97F4A7C15
-SCANNED = "doc_id long, n_bytes long, sha string, segments array<struct<key:long,start:int,n:int>>"
+SCANNED = "doc_id long, n_bytes long, sha string, segments array<struct<key:long,start:int,n:int,moves:boolean>>"
 
 
 def segments(text: np.ndarray, starts: np.ndarray, width: int = WIDTH, gram: int = GRAM):
-    """Document, key, first string and number of strings of each segment; starts: where documents begin, and the end."""
+    """Document, key, first string, number of strings and whether the key's place moves, for each segment; starts: where documents begin, and the end."""
     n = np.maximum(np.diff(starts) - width + 1, 0)
     none = np.zeros(0, np.int64)
     if not n.sum():
-        return none, none, none, none
+        return none, none, none, none, none.astype(bool)
     g = window_hashes(text.astype(np.uint64) + np.uint64(1), gram, BASE)
+    bits = np.uint64(len(g).bit_length())  # the leftmost of equal hashes, by its place in the low bits
+    packed = (g >> bits << bits) | np.arange(len(g), dtype=np.uint64)
     span = width - gram + 1  # minima over so many grams: of a block's end and the next one's beginning
     size = -(-len(g) // span) * span
     padded = np.full(size, np.iinfo(np.uint64).max, np.uint64)
-    padded[: len(g)] = g
+    padded[: len(g)] = packed
     square = padded.reshape(-1, span)
     forward = np.minimum.accumulate(square, axis=1).ravel()
     backward = np.minimum.accumulate(square[:, ::-1], axis=1)[:, ::-1].ravel()
     low = np.minimum(backward[: len(g) - span + 1], forward[span - 1 : len(g)])
     doc = np.repeat(np.arange(len(n)), n)
     at = np.repeat(starts[:-1] - np.cumsum(n) + n, n) + np.arange(n.sum())
-    key = low[at].view(np.int64)
+    place = (low[at] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    key = g[place].view(np.int64)
     head = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]))
-    return doc[head], key[head], at[head] - starts[doc[head]], np.diff(np.append(head, len(at)))
+    tail = np.append(head[1:], len(at)) - 1
+    return doc[head], key[head], at[head] - starts[doc[head]], tail - head + 1, place[head] != place[tail]
 
 
 def _scanned(batches):
-    kind = pa.list_(pa.struct([("key", pa.int64()), ("start", pa.int32()), ("n", pa.int32())]))
+    kind = pa.list_(pa.struct([("key", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("moves", pa.bool_())]))
     for b in slices(batches, limit=1 << 19):
         data = raw(b)
         sizes = np.array([len(x) for x in data], np.int64)
         starts = np.concatenate([[0], np.cumsum(sizes)])
-        doc, key, start, n = segments(np.frombuffer(b"".join(data), np.uint8), starts)
+        doc, key, start, n, moves = segments(np.frombuffer(b"".join(data), np.uint8), starts)
         offsets = pa.array(np.searchsorted(doc, np.arange(len(starts))).astype(np.int32))
-        values = pa.StructArray.from_arrays([pa.array(key), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))], fields=list(kind.value_type))
+        values = pa.StructArray.from_arrays([pa.array(key), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(moves)], fields=list(kind.value_type))
         yield pa.RecordBatch.from_arrays([ids(b), pa.array(sizes), pa.array([hashlib.sha256(x).hexdigest() for x in data]), pa.ListArray.from_arrays(offsets, values, type=kind)], names=["doc_id", "n_bytes", "sha", "segments"])
 
 
@@ -132,7 +136,7 @@ def suffix_dedup(docs: DataFrame, shard: int = SHARD, memory: int = MEMORY) -> D
     scratch.drop(scanned)
     listed = member.where("own").select("sha", F.col("doc_id"), "segments").dropDuplicates(["sha"])
     rows = listed.select("sha", "doc_id", F.inline("segments"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
+    shared = rows.groupBy("key").agg(F.count("*").alias("k"), F.max("moves").alias("moves")).where("k > 1 or moves").select("key")
     wanted = rows.join(shared, "key").groupBy("doc_id", "sha").agg(F.collect_list(F.struct("key", "start", "n")).alias("segments"))
     keyed = texts(docs).join(wanted.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id"))).drop("id")
     candidates = scratch.table(keyed.where(F.sha2(F.col("text").cast("binary"), 256) == F.col("sha")).dropDuplicates(["sha"]), "candidates")
