@@ -6,7 +6,9 @@ from importlib import import_module
 
 MODULES = {
     "op1_minhash_near_dedup": "op1_minhash",
+    "op2_language_id": "op2_language",
     "op4_substring_dedup": "op4_substring",
+    "op5_quality_classifier": "op5_quality",
     "op8_suffix_array_dedup": "op8_suffix_array",
     "op9_benchmark_decontamination": "op9_decontamination",
     "op10_best_fit_packing": "op10_packing",
