@@ -7,6 +7,7 @@ from importlib import import_module
 MODULES = {
     "op1_minhash_near_dedup": "op1_minhash",
     "op2_language_id": "op2_language",
+    "op3_fingerprints": "op3_fingerprint",
     "op4_substring_dedup": "op4_substring",
     "op5_quality_classifier": "op5_quality",
     "op8_suffix_array_dedup": "op8_suffix_array",
