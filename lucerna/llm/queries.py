@@ -10,6 +10,7 @@ MODULES = {
     "op3_fingerprints": "op3_fingerprint",
     "op4_substring_dedup": "op4_substring",
     "op5_quality_classifier": "op5_quality",
+    "op6_pitman_yor_scores": "op6_pitman_yor",
     "op7_license_scan": "op7_license",
     "op8_suffix_array_dedup": "op8_suffix_array",
     "op9_benchmark_decontamination": "op9_decontamination",
