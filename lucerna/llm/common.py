@@ -50,6 +50,17 @@ class Scratch:
                 p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: Ids that are sent to every executor at most (8 bytes each, some 16 MB as a hash table); more are joined by an exchange.
+BROADCAST_IDS = 500_000
+
+
+def having(rows: DataFrame, keys: DataFrame, scratch: Scratch, without: bool = False) -> DataFrame:
+    """Rows whose doc_id is (or isn't, which null never is) among the distinct keys.  The keys are counted before they are broadcast."""
+    keys = scratch.table(keys.select("doc_id"), "keys")
+    side = F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys
+    return rows.join(side, "doc_id", "left_anti" if without else "left_semi")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

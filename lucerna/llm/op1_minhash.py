@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Scratch, as_long, documents, hashed, ids, mix, raw, shingles, slices, split_all, texts
+from .common import Scratch, as_long, documents, hashed, having, ids, mix, raw, shingles, slices, split_all, texts
 from .components import components
 
 SIZE, BANDS, WORDS = 128, 32, 5
@@ -108,7 +108,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     full = rows.groupBy("bucket").agg(F.min("doc_id").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
     shared = scratch.table(rows.join(full, "bucket"), "shared")
     wanted = shared.select("doc_id").distinct()
-    sets = scratch.table(texts(known).join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles binary"), "sets")
+    sets = scratch.table(having(texts(known), wanted, scratch).mapInArrow(_sets, "doc_id long, shingles binary"), "sets")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         xs, ys = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("xs")), sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("ys"))

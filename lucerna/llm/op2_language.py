@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import documents, ids, raw, remainder, slices, split_all, texts
 from .subword import gram_lists, gram_sums, indexed, labelled_sample, spread
@@ -175,8 +176,8 @@ def label_means(e: np.ndarray, starts: np.ndarray, moves: np.ndarray) -> np.ndar
     return out
 
 
-def identify(docs: DataFrame, train_on: DataFrame | None = None, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """doc_id, lang_pred, score for every row.  train_on: rows with doc_id, text and lang to learn from (docs if none are given)."""
+def identify(docs: DataFrame, train_on: DataFrame | None = None, per_language: int = PER_LANGUAGE, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, lang_pred, score and row (the columns to carry) for every row.  train_on: rows with doc_id, text and lang to learn from (docs if none are given)."""
     rows = (docs if train_on is None else train_on).select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null and doc_id is not null")
     sample = labelled_sample(rows, "lang", per_language)
     field = docs.sparkSession.sparkContext.broadcast(train(sample) if sample else None)
@@ -194,9 +195,11 @@ def identify(docs: DataFrame, train_on: DataFrame | None = None, per_language: i
                 for i, j in enumerate(mean.argmax(1)):
                     if letters[i]:
                         lang[i], score[i] = f.languages[j], float(min(1.0, mean[i, j]))
-            yield pa.RecordBatch.from_arrays([ids(b), pa.array(lang), pa.array(score)], names=["doc_id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([ids(b), pa.array(lang), pa.array(score), ids(b, "row")], names=["doc_id", "lang_pred", "score", "row"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    rows = texts(docs, F.struct(*[c for c in docs.columns if c in carry]).alias("row") if carry else F.lit(None).cast("struct<x:int>").alias("row"))
+    kind = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("row", rows.schema["row"].dataType)])
+    return rows.mapInArrow(run, kind)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, hashed, ids, mix, range_minima, raw, slices, spans_of, split_all, texts, window_hashes
+from .common import Scratch, documents, hashed, having, ids, mix, range_minima, raw, slices, spans_of, split_all, texts, window_hashes
 
 WINDOW, LEVELS = 50, 4
 NOTHING = hashlib.sha256(b"").hexdigest()
@@ -145,8 +145,9 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     shared = rows.groupBy("key").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("key")
     found = rows.join(shared, "key").groupBy("doc_id").agg(F.collect_set("key").alias("shared"))
     loose = member.where("own and loose").select("doc_id", F.lit(None).cast("array<long>").alias("shared"))
-    wanted = found.unionByName(loose).groupBy("doc_id").agg(F.flatten(F.collect_list("shared")).alias("shared"))
-    candidates = scratch.table(texts(docs.where("doc_id is not null")).join(wanted, "doc_id"), "candidates")
+    wanted = scratch.table(found.unionByName(loose).groupBy("doc_id").agg(F.flatten(F.collect_list("shared")).alias("shared")), "wanted")
+    candidates = scratch.table(having(texts(docs.where("doc_id is not null")), wanted, scratch).join(wanted, "doc_id"), "candidates")
+    scratch.drop(wanted)
     windows = candidates.mapInArrow(_candidates, "w1 long, w2 int, doc_id long, place int")
     earliest = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("w1", "w2", "x")
     places = windows.join(earliest, ["w1", "w2"]).where("doc_id > x").groupBy("doc_id").agg(F.collect_list("place").alias("places"))

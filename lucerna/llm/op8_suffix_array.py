@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, ids, raw, slices, spans_of, texts, window_hashes
+from .common import Scratch, documents, having, ids, raw, slices, spans_of, texts, window_hashes
 from .induced import repeated
 
 WIDTH, GRAM = 400, 24
@@ -138,8 +138,11 @@ def suffix_dedup(docs: DataFrame, shard: int = SHARD, memory: int = MEMORY) -> D
     rows = listed.select("sha", "doc_id", F.inline("segments"))
     shared = rows.groupBy("key").agg(F.count("*").alias("k"), F.max("moves").alias("moves")).where("k > 1 or moves").select("key")
     wanted = rows.join(shared, "key").groupBy("doc_id", "sha").agg(F.collect_list(F.struct("key", "start", "n")).alias("segments"))
-    keyed = texts(docs).join(wanted.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id"))).drop("id")
+    wanted = scratch.table(wanted, "wanted")
+    somewhere = having(texts(docs), wanted.select("doc_id").where("doc_id is not null").distinct(), scratch).unionByName(texts(docs.where("doc_id is null")))
+    keyed = somewhere.join(wanted.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id"))).drop("id")
     candidates = scratch.table(keyed.where(F.sha2(F.col("text").cast("binary"), 256) == F.col("sha")).dropDuplicates(["sha"]), "candidates")
+    scratch.drop(wanted)
     parts = candidates.mapInArrow(_contents, "sha string, start int, key long, digest binary, content binary")
     distinct = parts.groupBy("key", "digest").agg(F.count("*").alias("copies"), F.first("content").alias("content"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
