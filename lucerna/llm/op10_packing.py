@@ -40,7 +40,7 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def make_encoder(path: str, remember: int = 400_000):
+def make_encoder(path: str, remember: int = 800_000):
     """A function from texts to the little-endian 32-bit ids of each.
 
     The tokenizer splits at white space, and between letters or digits and what is neither, before anything else, and joins nothing
@@ -53,6 +53,8 @@ def make_encoder(path: str, remember: int = 400_000):
 
     tok = Tokenizer.from_file(path)
     known: dict[str, bytes] = {}
+    last = np.zeros(max(tok.get_vocab().values()) + 1, bool)  # ids that end a word
+    last[[i for t, i in tok.get_vocab().items() if t.endswith("</w>")]] = True
     ending = re.compile(r"(?<=[^\W_])([.,])(?=\s|$)")
     control = re.compile("[\x1c-\x1f]")
 
@@ -69,11 +71,20 @@ def make_encoder(path: str, remember: int = 400_000):
 
     def encode(batch: list[str]) -> list[bytes]:
         split = [words(t) for t in batch]
-        new = {w for ws in split if ws for w in ws} - known.keys()
+        new = set().union(*filter(None, split)).difference(known)
         if len(known) + len(new) > remember:
             known.clear()
-            new = {w for ws in split if ws for w in ws}
-        new = list(new)
+            new = set().union(*filter(None, split))
+        plain = [w for w in new if w.isalpha()]
+        for i in range(0, len(plain), 100):
+            part = plain[i : i + 100]
+            found = tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids
+            data = np.array(found, "<u4")
+            at = np.flatnonzero(last[data]) + 1
+            if len(at) == len(part):  # one word end for each word
+                data, at = data.tobytes(), [0, *(4 * at).tolist()]
+                known.update((w, data[at[k] : at[k + 1]]) for k, w in enumerate(part))
+        new = [w for w in new if w not in known]
         for i in range(0, len(new), 20_000):
             part = new[i : i + 20_000]
             e = tok.encode(part, is_pretokenized=True, add_special_tokens=False)
