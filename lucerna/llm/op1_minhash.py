@@ -6,9 +6,12 @@ coordinate is filled, at the latest after 2 * SIZE rounds (Dahlgaard, Knudsen an
 Jaccard similarity with concentration bounds.  BANDS bands of SIZE / BANDS coordinates make candidates: at similarity 0.75 a pair is
 missed with probability (1 - 0.75^4)^32, about 5e-6.
 
-Documents with equal shingle sets are one class, represented by the smallest doc_id.  In a bucket of many classes the members are held
-against a pivot first, so pairs grow with the members; only members that are then still in different components are held against further
-pivots (4, 16, ... of them), until no pair of different components in any bucket is untested.
+Documents with equal shingle sets are one class, represented by the smallest doc_id.  In a bucket all members are held against one pivot, the
+member that shares the most buckets, so tests grow with the members.  That leaves pairs of members x, y of one pivot p in different
+components.  Let x lack a and add b of p's shingles.  At most |p| - max(a_x, a_y) + o are common to x and y, where o added ones are common,
+so either the counts allow a link with o = 0 (few do: classes of equal counts are compared, not members) or x and y share added shingles.
+Added shingles with the same members are taken together, common ones are summed by pair, and pairs whose sum suffices are verified.  No
+pair that shares a bucket is lost.
 
 Nulls and edges: null, empty or wordless texts have no shingles and are linked with nothing; a null doc_id is never linked and has a null
 component_id and kept true; rows that share a doc_id are one node; an empty table gives no rows; other columns are ignored.
@@ -21,7 +24,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import Scratch, as_long, documents, hashed, having, ids, mix, raw, shingles, slices, split_all, texts
 from .components import components
@@ -74,28 +76,35 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays([ids(b), pa.array([s.tobytes() for s in _shingled(b)], pa.binary())], names=["doc_id", "shingles"])
 
 
-def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-        return False
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+def _tested(percent: int):
+    """Each pair with whether it is linked, and for what it may share with others: |p|, lacking and added."""
 
-
-def _verifier(percent: int):
     def run(batches):
         last = (None, None)
         for b in batches:
-            keep = []
-            for i, (a, xs, ys) in enumerate(zip(ids(b, "a").to_pylist(), ids(b, "xs"), ids(b, "ys"))):
-                if last[0] != a:
-                    last = (a, np.frombuffer(xs.as_buffer(), np.uint64))
-                if linked(last[1], np.frombuffer(ys.as_buffer(), np.uint64), percent):
-                    keep.append(i)
-            yield pa.RecordBatch.from_arrays([ids(b, "a").take(pa.array(keep, pa.int64())), ids(b, "b").take(pa.array(keep, pa.int64()))], names=["a", "b"])
+            size, lacks, adds, link = [], [], [], []
+            for p, ps, xs in zip(ids(b, "p").to_pylist(), ids(b, "ps"), ids(b, "xs")):
+                if last[0] != p:
+                    last = (p, np.frombuffer(ps.as_buffer(), np.uint64))
+                x = np.frombuffer(xs.as_buffer(), np.uint64)
+                both = len(np.intersect1d(last[1], x, assume_unique=True))
+                size.append(len(last[1]))
+                lacks.append(len(last[1]) - both)
+                adds.append(len(x) - both)
+                link.append(both > 0 and 100 * both >= percent * (len(last[1]) + len(x) - both))
+            yield pa.RecordBatch.from_arrays([ids(b, "p"), ids(b, "x"), pa.array(size, pa.int64()), pa.array(lacks, pa.int64()), pa.array(adds, pa.int64()), pa.array(link, pa.bool_())], names=["p", "x", "size", "lacks", "adds", "link"])
 
     return run
 
 
+def _added(batches):
+    for b in batches:
+        more = [np.setdiff1d(np.frombuffer(xs.as_buffer(), np.uint64), np.frombuffer(ps.as_buffer(), np.uint64), assume_unique=True).view(np.int64) for ps, xs in zip(ids(b, "ps"), ids(b, "xs"))]
+        n = [len(m) for m in more]
+        take = pa.array(np.repeat(np.arange(len(n)), n))
+        yield pa.RecordBatch.from_arrays([*(ids(b, c).take(take) for c in ("p", "x", "component")), pa.array(np.concatenate(more) if more else np.zeros(0, np.int64))], names=["p", "x", "component", "shingle"])
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, class_id (the smallest doc_id with the same shingles)."""
     scratch = Scratch(docs.sparkSession)
@@ -105,37 +114,66 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     member = scratch.table(sketches.join(classes, "set_key", "left").select("doc_id", "n_shingles", "class_id", F.when(F.col("doc_id") == F.col("class_id"), F.col("bands")).alias("bands")), "members")
     scratch.drop(sketches)
     rows = member.where("bands is not null").select(F.explode(F.array_distinct("bands")).alias("bucket"), "doc_id").distinct()
-    full = rows.groupBy("bucket").agg(F.min("doc_id").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
+    full = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     shared = scratch.table(rows.join(full, "bucket"), "shared")
-    wanted = shared.select("doc_id").distinct()
+    degree = shared.groupBy("doc_id").agg(F.sum("n").alias("degree"))
+    wanted = degree.select("doc_id")
+    ranked = shared.join(degree, "doc_id").select("bucket", "doc_id", F.struct("degree", -F.col("doc_id")).alias("rank"))
+    pivots = ranked.groupBy("bucket").agg((-F.max("rank")["col2"]).alias("p"))
+    first = shared.join(pivots, "bucket").where("p <> doc_id").select("p", F.col("doc_id").alias("x")).distinct()
     sets = scratch.table(having(texts(known), wanted, scratch).mapInArrow(_sets, "doc_id long, shingles binary"), "sets")
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        xs, ys = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("xs")), sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("ys"))
-        return scratch.table(pairs.join(ys, "b").join(xs, "a").select("a", "b", "xs", "ys").mapInArrow(_verifier(percent), "a long, b long").distinct(), name)
-
-    tested = scratch.table(shared.where("doc_id > pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
-    links = verified(tested, "links")
-    low, high = 1, 4
-    while True:
-        found = components(links, scratch)
-        label = shared.select("bucket", "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-        mixed = label.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where(f"x <> y and n > {low + 1}").select("bucket")
-        open_rows = scratch.table(label.join(mixed, "bucket").withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("doc_id")) - 1), "open")
-        if open_rows.isEmpty():
-            break
-        p = open_rows.where(f"rank >= {low} and rank < {high}").select("bucket", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
-        q = open_rows.where(f"rank > {low}").select("bucket", F.col("doc_id").alias("b"), F.col("component").alias("cb"))
-        pairs = scratch.table(p.join(q, "bucket").where("a < b and ca <> cb").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        more = verified(pairs, "links")
-        tested, links = tested.unionByName(pairs), links.unionByName(more)
-        scratch.drop(open_rows)
-        low, high = high, 4 * high
+    def with_sets(pairs: DataFrame) -> DataFrame:
+        return pairs.join(sets.select(F.col("doc_id").alias("x"), F.col("shingles").alias("xs")), "x").join(sets.select(F.col("doc_id").alias("p"), F.col("shingles").alias("ps")), "p")
+
+    def tested(pairs: DataFrame, name: str) -> DataFrame:
+        return scratch.table(with_sets(pairs).select("p", "x", "ps", "xs").mapInArrow(_tested(percent), "p long, x long, size long, lacks long, adds long, link boolean"), name)
+
+    tests = tested(first, "tests")
+    links = tests.where("link").select(F.col("p").alias("a"), F.col("x").alias("b"))
+    found = components(links, scratch)
+    rest = tests.drop("link").join(found.select(F.col("node").alias("x"), "component"), "x", "left").withColumn("component", F.coalesce("component", "x"))
+    mixed = rest.groupBy("p").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("p")
+    rest = scratch.table(rest.join(mixed, "p"), "rest")
+    pairs = _by_counts(rest, percent).unionByName(_by_added(rest, with_sets(rest.select("p", "x", "component")).mapInArrow(_added, "p long, x long, component long, shingle long"), percent)).distinct()
+    more = tested(pairs, "more").where("link").select(F.col("p").alias("a"), F.col("x").alias("b"))
+    found = components(links.unionByName(more), scratch)
     out = member.join(found.select(F.col("node").alias("class_id"), "component"), "class_id", "left")
     component = F.coalesce("component", "class_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
+def _enough(percent: int, common: str) -> str:
+    """Whether pairs (l, r) of one pivot can be linked with so many added shingles in common."""
+    both = f"(l.size - greatest(l.lacks, r.lacks) + {common})"
+    return f"{100 + percent} * {both} >= {percent} * (2 * l.size - l.lacks - r.lacks + l.adds + r.adds)"
+
+
+def _by_counts(rest: DataFrame, percent: int) -> DataFrame:
+    """Pairs in different components that need no added shingle in common."""
+    key = ["p", "size", "lacks", "adds"]
+    kinds = rest.select(*key).distinct()
+    l, r = kinds.alias("l"), kinds.alias("r")
+    fit = l.join(r, F.expr(f"l.p = r.p and {_enough(percent, '0')}")).select(F.col("l.p").alias("p"), F.col("l.lacks").alias("l1"), F.col("l.adds").alias("a1"), F.col("r.lacks").alias("l2"), F.col("r.adds").alias("a2"))
+    x = rest.select("p", F.col("lacks").alias("l1"), F.col("adds").alias("a1"), F.col("x").alias("v"), F.col("component").alias("c1"))
+    y = rest.select("p", F.col("lacks").alias("l2"), F.col("adds").alias("a2"), F.col("x").alias("w"), F.col("component").alias("c2"))
+    return fit.join(x, ["p", "l1", "a1"]).join(y, ["p", "l2", "a2"]).where("v < w and c1 <> c2").select(F.col("v").alias("p"), F.col("w").alias("x"))
+
+
+def _by_added(rest: DataFrame, added: DataFrame, percent: int) -> DataFrame:
+    """Pairs in different components with enough added shingles in common."""
+    lists = added.groupBy("p", "shingle").agg(F.count("*").alias("n"), F.sum(F.xxhash64("x").cast("decimal(38,0)")).alias("sign"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    lists = lists.groupBy("p", "n", "sign").agg(F.min("shingle").alias("shingle"), F.count("*").alias("weight"))
+    posted = added.join(lists.select("p", "shingle", "weight"), ["p", "shingle"]).select("p", "x", "shingle", "weight")
+    shareable = posted.groupBy("p", "x").agg(F.sum("weight").alias("shareable"))  # no pair has more in common
+    posted = posted.join(rest.join(shareable, ["p", "x"]), ["p", "x"])
+    l, r = posted.alias("l"), posted.alias("r")
+    met = l.join(r, F.expr(f"l.p = r.p and l.shingle = r.shingle and l.x < r.x and l.component <> r.component and {_enough(percent, 'least(l.shareable, r.shareable)')}"))
+    met = met.groupBy("l.p", F.col("l.x").alias("v"), F.col("r.x").alias("w"), "l.size", F.col("l.lacks").alias("l1"), F.col("l.adds").alias("a1"), F.col("r.lacks").alias("l2"), F.col("r.adds").alias("a2")).agg(F.sum("l.weight").alias("common"))
+    enough = f"{100 + percent} * (size - greatest(l1, l2) + common) >= {percent} * (2 * size - l1 - l2 + a1 + a2)"
+    return met.where(enough).select(F.col("v").alias("p"), F.col("w").alias("x"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
