@@ -3,11 +3,11 @@
 Rounds rename runs of one symbol and then pairs of a left and a right symbol, the side of a symbol drawn from its name.  A new name is a
 hash of what it stands for, so it is the same in every document without a table of names to agree on.  Each symbol carries the words
 that it depends on: its own, and the neighbours that decided how it was parsed.  A window of 50 words therefore fixes, by its content
-alone, which symbols it holds with all they depend on; equal windows hold the same ones.  A window's key is the least name among them.
+alone, which symbols it holds with all they depend on; equal windows hold the same ones.  A window's key is the least name among the
+longest of them; a window without any (such as one within a long run) takes its key from fewer rounds, in the end from its words.
 
 1. The keys of all documents (a few per 50 words) meet; a key seen in one document only rules its windows out.
-2. Windows with shared keys (and those without any symbol of their own, such as parts of a long run) are verified: equal hashes of all 50
-   words (96 bits), and the smallest doc_id that holds them.
+2. Windows with shared keys are verified: equal hashes of all 50 words (96 bits), and the smallest doc_id that holds them.
 3. Words covered by a window that also starts in a smaller doc_id go.
 
 Equal documents are settled beforehand: all but the smallest doc_id lose every word, if they have a window at all.
@@ -29,12 +29,12 @@ from .common import Scratch, documents, hashed, having, ids, mix, range_minima,
 
 WINDOW, LEVELS = 50, 4
 NOTHING = hashlib.sha256(b"").hexdigest()
-PARSED = "doc_id long, n_words long, sha string, keys array<long>, loose boolean"
+PARSED = "doc_id long, n_words long, sha string, keys array<long>"
 BASES = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 
 
-def parse(h: np.ndarray, starts: np.ndarray, levels: int = LEVELS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Names of the symbols after the rounds, and the first and last word that each depends on (outside the document: on its edge)."""
+def parse(h: np.ndarray, starts: np.ndarray, levels: int = LEVELS):
+    """Names and lengths of the symbols after the rounds, and the first and last word that each depends on (outside the document: on its edge)."""
     sym, first = h, np.arange(len(h))
     doc = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
     last, lo, hi = first, first, first
@@ -65,21 +65,26 @@ def parse(h: np.ndarray, starts: np.ndarray, levels: int = LEVELS) -> tuple[np.n
                 lo, hi = lo[head], hi[tail]
             sym, first, last, doc = name, first[head], last[tail], doc[head]
             new = doc[1:] != doc[:-1]
-    return sym, lo, hi
+    return sym, last - first + 1, lo, hi
 
 
 def window_keys(h: np.ndarray, starts: np.ndarray, window: int = WINDOW):
-    """Starts of all windows, their document, their key, and whether they have one."""
-    sym, lo, hi = parse(h, starts)
+    """Starts of all windows, their document and their key."""
     n = np.maximum(np.diff(starts) - window + 1, 0)
     doc = np.repeat(np.arange(len(n)), n)
     at = np.repeat(starts[:-1] - np.cumsum(n) + n, n) + np.arange(n.sum())
-    a, b = np.searchsorted(lo, at, "left"), np.searchsorted(hi, at + window - 1, "right")
-    has = b > a
-    key = np.zeros(len(at), np.uint64)
-    if has.any():
-        key[has] = range_minima(mix(sym), a[has], b[has])
-    return at, doc, key, has
+    key, open_ = np.zeros(len(at), np.uint64), np.arange(len(at))
+    for levels in (LEVELS, 2, 0):
+        if not len(open_):
+            break
+        sym, length, lo, hi = parse(h, starts, levels)
+        short = np.uint64(3) - np.minimum(length, 4).astype(np.uint64) + np.uint64(1)  # 0 for four words or more
+        name = (mix(sym + np.uint64(levels)) >> np.uint64(2)) | (short << np.uint64(62))
+        a, b = np.searchsorted(lo, at[open_], "left"), np.searchsorted(hi, at[open_] + window - 1, "right")
+        has = b > a
+        key[open_[has]] = range_minima(name, a[has], b[has])
+        open_ = open_[~has]
+    return at, doc, key
 
 
 def _words(b):
@@ -90,25 +95,22 @@ def _words(b):
 def _parsed(batches):
     for b in slices(batches):
         words, starts, h = _words(b)
-        _, doc, key, has = window_keys(h, starts)
+        _, doc, key = window_keys(h, starts)
         change = np.ones(len(key), bool)
         change[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-        change &= has
         key, owner = key[change].view(np.int64), doc[change]
         at = np.searchsorted(owner, np.arange(len(starts)))
-        loose = np.zeros(len(starts) - 1, bool)
-        loose[doc[~has]] = True
         sha = [hashlib.sha256(b" ".join(words[s:e])).hexdigest() for s, e in zip(starts[:-1].tolist(), starts[1:].tolist())]
-        yield pa.RecordBatch.from_arrays([ids(b), pa.array(np.diff(starts)), pa.array(sha), pa.array([np.unique(key[s:e]) for s, e in zip(at[:-1], at[1:])], pa.list_(pa.int64())), pa.array(loose)], names=["doc_id", "n_words", "sha", "keys", "loose"])
+        yield pa.RecordBatch.from_arrays([ids(b), pa.array(np.diff(starts)), pa.array(sha), pa.array([np.unique(key[s:e]) for s, e in zip(at[:-1], at[1:])], pa.list_(pa.int64()))], names=["doc_id", "n_words", "sha", "keys"])
 
 
 def _candidates(batches):
     for b in slices(batches):
         _, starts, h = _words(b)
-        at, doc, key, has = window_keys(h, starts)
+        at, doc, key = window_keys(h, starts)
         shared = [np.array(x or [], np.int64).view(np.uint64) for x in ids(b, "shared").to_pylist()]
         own = np.searchsorted(doc, np.arange(len(starts)))
-        keep = np.concatenate([~has[s:e] | np.isin(key[s:e], shared[i]) for i, (s, e) in enumerate(zip(own[:-1], own[1:]))])
+        keep = np.concatenate([np.isin(key[s:e], shared[i]) for i, (s, e) in enumerate(zip(own[:-1], own[1:]))])
         at, doc = at[keep], doc[keep]
         m = mix(h)
         w1, w2 = window_hashes(m, WINDOW, BASES[0])[at], window_hashes(m, WINDOW, BASES[1])[at] if len(at) else np.zeros(0, np.uint64)
@@ -139,13 +141,11 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     parsed = scratch.table(texts(docs).mapInArrow(_parsed, PARSED), "parsed")
     first = parsed.where(f"doc_id is not null and n_words >= {WINDOW}").groupBy("sha").agg(F.min("doc_id").alias("first_id"))
     own = F.col("doc_id") == F.col("first_id")
-    member = scratch.table(parsed.join(first, "sha", "left").select("doc_id", "n_words", "sha", own.alias("own"), F.when(own, F.col("keys")).alias("keys"), F.when(own, F.col("loose")).alias("loose")), "members")
+    member = scratch.table(parsed.join(first, "sha", "left").select("doc_id", "n_words", "sha", own.alias("own"), F.when(own, F.col("keys")).alias("keys")), "members")
     scratch.drop(parsed)
     rows = member.where("own").select(F.explode("keys").alias("key"), "doc_id")
     shared = rows.groupBy("key").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("key")
-    found = rows.join(shared, "key").groupBy("doc_id").agg(F.collect_set("key").alias("shared"))
-    loose = member.where("own and loose").select("doc_id", F.lit(None).cast("array<long>").alias("shared"))
-    wanted = scratch.table(found.unionByName(loose).groupBy("doc_id").agg(F.flatten(F.collect_list("shared")).alias("shared")), "wanted")
+    wanted = scratch.table(rows.join(shared, "key").groupBy("doc_id").agg(F.collect_set("key").alias("shared")), "wanted")
     candidates = scratch.table(having(texts(docs.where("doc_id is not null")), wanted, scratch).join(wanted, "doc_id"), "candidates")
     scratch.drop(wanted)
     windows = candidates.mapInArrow(_candidates, "w1 long, w2 int, doc_id long, place int")
