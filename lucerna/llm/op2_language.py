@@ -178,8 +178,9 @@ def label_means(e: np.ndarray, starts: np.ndarray, moves: np.ndarray) -> np.ndar
 
 def identify(docs: DataFrame, train_on: DataFrame | None = None, per_language: int = PER_LANGUAGE, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, lang_pred, score and row (the columns to carry) for every row.  train_on: rows with doc_id, text and lang to learn from (docs if none are given)."""
-    rows = (docs if train_on is None else train_on).select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null and doc_id is not null")
-    sample = labelled_sample(rows, "lang", per_language)
+    teach = docs if train_on is None else train_on
+    labels = teach.where("text is not null and lang is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
+    sample = labelled_sample(teach, labels, "lang", per_language)
     field = docs.sparkSession.sparkContext.broadcast(train(sample) if sample else None)
 
     def run(batches):

@@ -85,10 +85,10 @@ def train(sample: list[tuple[str, int]], epochs: int = 6, rate: float = 2.0, see
     return (vectors @ (out[1] - out[0])).astype(np.float32), float(bias[1] - bias[0])
 
 
-def score(docs: DataFrame, labelled: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
-    """doc_id and score of every row; labelled: doc_id, text and quality to learn from."""
-    rows = labelled.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)")
-    sample = labelled_sample(rows, "quality", per_label)
+def score(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
+    """doc_id and score of every row; labels: doc_id and quality to learn from."""
+    labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)")
+    sample = labelled_sample(docs, labels, "quality", per_label)
     model = docs.sparkSession.sparkContext.broadcast(train(sample))
 
     def run(batches):
@@ -113,7 +113,6 @@ def score(docs: DataFrame, labelled: DataFrame, per_label: int = PER_LABEL) -> D
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality").where((remainder("doc_id", 4) != 2) & F.col("quality").isNotNull())
-    # the labels are joined to the ids first, so that only the texts of the sample are read in full
-    out = score(docs, docs.select("doc_id", "text").join(labels, "doc_id"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(remainder("doc_id", 4) != 2)
+    out = score(docs, labels)
     return out.select("doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
