@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text, urls
-from ..operators import coverage, dedupe, integrity, lookup, merge
+from ..operators import coverage, dedupe, integrity, links, lookup, merge, rules
 from ..sources.tables import table
 
 QUERIES, SQL = {}, {}
@@ -307,6 +307,45 @@ def topk_cap(spark, d):
     return table(spark, d, "lineitem").withColumn("n", F.row_number().over(w)).where("n <= 3").select("l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice")
 
 
+@query("""select doc_id, min(t) as target from (select doc_id, t from (select distinct doc_id, w from (select doc_id, unnest(string_split(lower(text), ' ')) as w from documents)) join (select source as t, lower(lang) as w from documents where doc_id < 3 union select 'article', 'the' union select 'article', 'de') using (w)) group by doc_id having count(distinct t) = 1""")
+def word_links(spark, d):
+    docs = table(spark, d, "documents")
+    named = docs.where("doc_id < 3").select(F.col("source").alias("target"), F.lower("lang").alias("word")).union(spark.createDataFrame([("article", "the"), ("article", "de")], "target string, word string")).distinct()
+    return links.word_links(docs, "doc_id", F.split(F.lower("text"), " "), named)
+
+
+@query("""select c_custkey, coalesce(a.s_suppkey, b.s_suppkey, c.s_suppkey) as target from customer left join supplier a on a.s_suppkey = case when c_acctbal < 0 then c_custkey + 5 end
+left join supplier b on b.s_suppkey = case when c_mktsegment like 'B%' then c_custkey * 2 end left join supplier c on c.s_suppkey = c_nationkey""")
+def rule_chain_link(spark, d):
+    c = table(spark, d, "customer")
+    chain = [(F.col("c_acctbal") < 0, F.col("c_custkey") + 5), (F.col("c_mktsegment").like("B%"), F.col("c_custkey") * 2), (F.lit(True), F.col("c_nationkey").cast("long"))]
+    return links.existing_rule(c, chain, table(spark, d, "supplier"), "s_suppkey", "target").select("c_custkey", "target")
+
+
+@query("select o_orderkey, concat_ws('__', 'customer-' || o_custkey, lower(o_orderpriority), 'order-' || o_orderkey) as link_id from orders")
+def entity_links(spark, d):
+    c = F.concat(F.lit("customer-"), "o_custkey"), F.concat(F.lit("order-"), "o_orderkey")
+    return table(spark, d, "orders").select("o_orderkey", links.link_id(c[0], F.col("o_orderpriority"), c[1]).alias("link_id"))
+
+
+@query("""select p_partkey, 'p_size' as field, 'minimum' as error from part where p_size < 10 union all select p_partkey, 'p_type', 'enum' from part where p_type not in ('SMALL', 'ECONOMY')
+union all select p_partkey, 'p_brand', 'pattern' from part where not regexp_matches(p_brand, '^Brand#[1-4]') union all select p_partkey, 'p_name', 'required' from part where p_name is null""")
+def schema_errors(spark, d):
+    return rules.schema_errors(table(spark, d, "part"), "p_partkey", ["p_name"], {"p_type": ["SMALL", "ECONOMY"]}, {"p_size": 10}, {"p_brand": "^Brand#[1-4]"})
+
+
+@query("""with recursive p as (select page_id as url, case when page_id % 10 <> 9 then page_id + 1 else page_id - 9 end as next from pages), r(url, step) as (select url, 0 from p where url % 20 = 3 union all select p.next, step + 1 from r join p using (url) where step < 9 and p.next in (select url from p))
+select url, min(step) as step from r group by url""")
+def paginate(spark, d):
+    pages = table(spark, d, "pages").select(F.col("page_id").alias("url"), F.expr("case when page_id % 10 <> 9 then page_id + 1 else page_id - 9 end").alias("next"))
+    return rules.pages_in_order(pages.where("url % 20 = 3").select("url"), pages, 9)
+
+
+@query(f"select p_partkey, array_to_string(list_sort(list_distinct([s, replace(s, '-', ''), regexp_replace(s, '^aula-', ''), lower(p_brand), {SLUG.format('p_type')}])), ' ') as tokens from (select *, {SLUG.format("'Aula ' || p_name")} as s from part)")
+def search_tokens(spark, d):
+    return table(spark, d, "part").select("p_partkey", F.array_join(text.search_tokens(F.concat(F.lit("Aula "), "p_name"), F.col("p_brand"), F.col("p_type")), " ").alias("tokens"))
+
+
 def flagship(spark, d):
     """How complete each brand's parts are, once repeated names are gone."""
     part = table(spark, d, "part").withColumn("slug", text.slug("p_name"))
