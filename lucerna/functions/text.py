@@ -89,11 +89,5 @@ def roman(c) -> Column:
     return F.aggregate(digits, start, step, lambda a: a.total)
 
 
-def capacity(c) -> Column:
-    """The first seat count in the text if it is from 1 to 5000; an unlikely first one is null and not passed over."""
-    n = F.expr(f"try_cast(nullif(regexp_extract({c}, '(?i)(?:capienza|posti|seats)[^0-9]{{0,10}}([0-9]+)', 1), '') as int)")
-    return F.when(n.between(1, 5000), n)
-
-
 def strip_html(c) -> Column:
     return collapse(F.regexp_replace(c, "<[^>]*>", " "))

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from lucerna.functions import text
+from lucerna.functions import rooms, text
 from lucerna.operators import dedupe, merge
 from lucerna.sources.tables import json_array
 
@@ -18,8 +18,8 @@ def test_text(spark):
     assert one(spark, text.person_id(F.col("x")), x="Mario De Rossi") == "rossi-mario-de"
     assert one(spark, text.roman("x"), x="XIV") == 14
     assert one(spark, text.casefold("x"), x="Straße") == "strasse"
-    assert one(spark, text.capacity("x"), x="capienza 9000, posti 30") is None
-    assert one(spark, text.capacity("x"), x="posti: 30") == 30
+    assert one(spark, rooms.capacity("x"), x="capienza 9000, posti 30") is None
+    assert one(spark, rooms.capacity("x"), x="posti: 30") == 30
 
 
 def test_first_wins_groups_nulls(spark):
