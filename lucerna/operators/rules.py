@@ -43,10 +43,10 @@ def check_rules(rules: list[dict], allowed: set[str]) -> list[str]:
 
 
 def cut(rows: DataFrame) -> DataFrame:
-    """rows from the checkpoint folder; one of this machine is set only where none is, as in tests."""
+    """rows from the folder that spark.checkpoint.dir names; one of this machine is set only where it is unset, as in tests."""
     sc = rows.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp())
+        sc.setCheckpointDir(rows.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
     return rows.checkpoint()
 
 
