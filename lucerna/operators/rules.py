@@ -1,4 +1,4 @@
-"""Checks of tables against declared fields, and of correction rules before they are applied."""
+"""Checks of tables against declared fields, checkpoints and pagination."""
 
 from __future__ import annotations
 
@@ -7,11 +7,6 @@ import tempfile
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Fixed values of the rule registry.
-DESTRUCTIVE = ("set_null", "drop_if_matches", "drop_if_prefix")
-APPLYABLE = ("approved", "applied")
-
-
 def schema_errors(rows: DataFrame, key: str, required: list[str] = (), enums: dict[str, list] | None = None, minimum: dict[str, float] | None = None, patterns: dict[str, str] | None = None) -> DataFrame:
     """(key, field, error) of every broken declaration, in one pass over the rows."""
     tests: list[tuple[str, str, Column]] = [(c, "required", F.col(c).isNull()) for c in required]
@@ -22,26 +17,6 @@ def schema_errors(rows: DataFrame, key: str, required: list[str] = (), enums: di
     return rows.select(key, F.explode(F.filter(found, lambda x: x.isNotNull())).alias("x")).select(key, "x.*")
 
 
-def check_rules(rules: list[dict], allowed: set[str]) -> list[str]:
-    """What is wrong with a registry (a reviewed list, small): repeated ids, equal priorities on one target, missing reviewers and
-    destructive rules that aren't allowed."""
-    out, ids, slots = [], set(), set()
-    for r in rules:
-        if r["id"] in ids:
-            out.append(f"repeated id {r['id']}")
-        ids.add(r["id"])
-        slot = (r["target"], r["field"], r["priority"])
-        if r["status"] != "archived":
-            if slot in slots:
-                out.append(f"equal priority {slot}")
-            slots.add(slot)
-        if r["status"] != "proposed" and not r.get("reviewer"):
-            out.append(f"no reviewer {r['id']}")
-        if r["status"] in APPLYABLE and r["action"] in DESTRUCTIVE and r["id"] not in allowed:
-            out.append(f"not allowed {r['id']}")
-    return sorted(out)
-
-
 def cut(rows: DataFrame) -> DataFrame:
     """rows from the folder that spark.checkpoint.dir names; one of this machine is set only where it is unset, as in tests."""
     sc = rows.sparkSession.sparkContext

@@ -48,12 +48,3 @@ def test_json_arrays(spark, tmp_path):
     except ValueError:
         return
     raise AssertionError
-
-
-def test_rule_registry():
-    from lucerna.operators.rules import check_rules
-
-    rule = {"id": "a", "target": 1, "field": "f", "priority": 1, "status": "approved", "action": "set_null", "reviewer": "r"}
-    assert check_rules([rule], {"a"}) == []
-    assert check_rules([rule], set()) == ["not allowed a"]
-    assert check_rules([rule, rule | {"id": "b", "reviewer": ""}], {"a", "b"}) == ["equal priority (1, 'f', 1)", "no reviewer b"]
