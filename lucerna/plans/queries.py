@@ -11,22 +11,11 @@ from pyspark.sql.window import Window
 from ..functions import text, urls
 from ..operators import coverage, dedupe, integrity, links, lookup, merge, rules
 from ..sources.tables import table
-
-QUERIES, SQL = {}, {}
+from .registry import QUERIES, SQL, query
 
 SLUG = r"trim(regexp_replace(lower(regexp_replace(strip_accents({}), '[^\x00-\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '-')"
 
 
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
 @query(f"select doc_id, {SLUG.format('text')} as slug from documents")
 def slug_keys(spark, d):
     return table(spark, d, "documents").select("doc_id", text.slug("text").alias("slug"))
@@ -307,10 +296,10 @@ def topk_cap(spark, d):
     return table(spark, d, "lineitem").withColumn("n", F.row_number().over(w)).where("n <= 3").select("l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice")
 
 
-@query("""select doc_id, min(t) as target from (select doc_id, t from (select distinct doc_id, w from (select doc_id, unnest(string_split(lower(text), ' ')) as w from documents)) join (select source as t, lower(lang) as w from documents where doc_id < 3 union select 'article', 'the' union select 'article', 'de') using (w)) group by doc_id having count(distinct t) = 1""")
+@query("""select doc_id, min(t) as target from (select doc_id, t from (select distinct doc_id, w from (select doc_id, unnest(string_split(lower(text), ' ')) as w from documents)) join (select 'lang-' || lang as t, lower(lang) as w from documents where lang is not null union select 'article', 'the' union select 'article', 'les') using (w)) group by doc_id having count(distinct t) = 1""")
 def word_links(spark, d):
     docs = table(spark, d, "documents")
-    named = docs.where("doc_id < 3").select(F.col("source").alias("target"), F.lower("lang").alias("word")).union(spark.createDataFrame([("article", "the"), ("article", "de")], "target string, word string")).distinct()
+    named = docs.where("lang is not null").select(F.concat(F.lit("lang-"), "lang").alias("target"), F.lower("lang").alias("word")).union(spark.createDataFrame([("article", "the"), ("article", "les")], "target string, word string")).distinct()
     return links.word_links(docs, "doc_id", F.split(F.lower("text"), " "), named)
 
 
@@ -355,3 +344,5 @@ def flagship(spark, d):
 
 QUERIES["flagship"] = flagship
 SQL["flagship"] = f"select p_brand, count(*) as total, count_if(p_size > 25) as sized, count_if(p_size > 25) / count(*) as sized_ratio from (select *, {SLUG.format('p_name')} as slug from part qualify row_number() over (partition by slug, p_brand order by p_partkey) = 1) group by 1"
+
+from . import campus  # noqa: E402, F401  registers its queries
