@@ -151,3 +151,14 @@ def building_description(text) -> Column:
 
 def building_category(name) -> Column:
     return F.when(F.contains(casefold(name), F.lit("mensa")), F.lit("MENSA"))
+
+
+# Parts of names of what maps show besides buildings, and of buildings.
+NO_BUILDING = ("fontanella", "parcheggio", "pensiline", "terminal bus", "wifi", "copertura", "strada", "casetta dell'acqua", "bar ", "banca ", "campo ")
+A_BUILDING = ("aula magna", "teatro", "anfiteatro", "biblioteca", "mensa", "residenza", "quartiere", "maisonnettes", "palestra", "rettorato", "centro", "museo", "cla", "capannone", "polifunzionale", "orto botanico", "ampliamento polifunzionale", "stabilario")
+
+
+def is_building(name) -> Column:
+    """Whether a map's name is a building's: no parking area or other mark, and a numbered block or one of the kinds."""
+    t = casefold(name)
+    return F.coalesce(~F.rlike(t, F.lit(r"(?U)^p[0-9]+\b")) & ~holds(t, NO_BUILDING) & (F.rlike(t, F.lit("^cub[oi] ")) | holds(t, A_BUILDING)), F.lit(False))
