@@ -19,7 +19,14 @@ from .license_rules import rules
 
 #: Fixed values of the contract: phrases whose places are counted, and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-BEFORE, AFTER = 14, 22
+
+
+def widest(side: int) -> int:
+    """Words that the longest pattern on a side (1: before, 2: after) can span: each has its own blank and no group of words repeats."""
+    return max(r[side].count(" ") for r in rules())
+
+
+BEFORE, AFTER = widest(1), widest(2)
 
 
 def gates(keywords: set[str]) -> list[str]:

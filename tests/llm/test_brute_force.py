@@ -102,6 +102,57 @@ def test_license_phrases(spark, rows):
         assert (got[i].n_words, got[i].n_base, got[i].first_word, got[i].last_word) == (len(w), len(at), min(at, default=None), max(at, default=None))
 
 
+def _longest(parsed):
+    """A text that the pattern matches, with every optional part and the longest alternative."""
+    out = ""
+    for op, a in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(a)
+        elif name == "IN":
+            out += "7" if str(a[0][1]) == "CATEGORY_DIGIT" else "work" if str(a[0][0]) == "CATEGORY" else chr(a[0][1])
+        elif name == "BRANCH":
+            out += max((_longest(x) for x in a[1]), key=len)
+        elif name == "SUBPATTERN":
+            out += _longest(a[3])
+        elif name == "MAX_REPEAT":
+            out += _longest(a[2])
+        else:
+            raise ValueError(name)
+    return out
+
+
+def test_license_rules(spark):
+    import re
+
+    from lucerna.llm import op7_license
+    from lucerna.llm.license_rules import rules
+
+    table, texts = rules(), []
+    for key, before, after, _ in table:
+        b, a = before.removeprefix("(?:^| )(").removesuffix(")$"), after.removeprefix("^(").removesuffix(")(?: |$)")
+        texts.append("one two three " + _longest(re._parser.parse(b)) + key + _longest(re._parser.parse(a)) + " four five")
+    isc = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that"
+    d = spark.createDataFrame(list(enumerate([*texts, isc])), "doc_id long, text string")
+    got = {r.doc_id: r for r in op7_license.scan(d).collect()}
+    assert (got[len(texts)].labels, got[len(texts)].score) == ("isc", pytest.approx(1 - 1 / 21))
+    for n, t in enumerate(texts):
+        w, found = t.split(), []
+        for i, x in enumerate(w):
+            left, right = "".join(y + " " for y in w[:i]), "".join(" " + y for y in w[i + 1 :])
+            for m, (key, before, after, label) in enumerate(table):
+                b, a = re.search(before, left), re.search(after, right)
+                if x == key and b and a:
+                    found.append((i - len(b[1].split()), -(i + 1 + len(a[1].split())), m, label))
+        assert n in [x[2] for x in found], table[n]
+        reach, longest, labels = -1, 0, set(got[n].base_labels.split(",")) - {""}
+        for start, minus_end, _, label in sorted(found):
+            if -minus_end > reach:
+                reach, longest = -minus_end, max(longest, -minus_end - start)
+                labels.add(label)
+        assert (got[n].labels, got[n].score) == (",".join(sorted(labels)), pytest.approx(1 - 1 / (1 + longest))), t
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
