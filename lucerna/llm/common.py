@@ -41,6 +41,12 @@ class Scratch:
         self.paths[id(out)] = (out, path)
         return out
 
+    def bucketed(self, df: DataFrame, name: str, n: int, column: str) -> DataFrame:
+        """A table whose rows stay in n buckets of the column, so that joins by it move only the other side."""
+        path, known = f"{self.root}/{name}", f"{name}_{uuid.uuid4().hex}"
+        df.write.option("compression", "zstd").option("path", path).bucketBy(n, column).saveAsTable(known)
+        return self.spark.table(known)
+
     def drop(self, *tables: DataFrame) -> None:
         """Deletes tables that no later plan reads."""
         for t in tables:

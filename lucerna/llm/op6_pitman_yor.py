@@ -1,15 +1,18 @@
 """Language-model scoring by a hierarchical Pitman-Yor model.
 
-Each word is a customer in the restaurant of its context, a class of the word before it (its last two bytes; CONTEXTS classes).  All
-context restaurants share one parent: a table of theirs is a customer of the root, whose new dishes are unknown words.  Each Gibbs sweep
-seats every customer anew given the parent's probabilities of the sweep before; predictive probabilities are averaged over the sweeps
-after burn-in.  Contexts are classes and not the words themselves because the pairs of neighbouring words would more than fill the
-exchange that the counts of single words need.
+Each word is a customer in the restaurant of its context, the whole word before it.  Tables there are customers of the restaurant of the
+context's class (its last two bytes; CLASSES classes), tables there those of the root, whose new dishes are unknown words.  Each Gibbs
+sweep seats every customer anew given the parents' probabilities of the sweep before; predictive probabilities are averaged over the sweeps
+after burn-in.
 
 Words meet their counts in one exchange: texts are cut into slices, a slice's tokens are packed into one block for each bucket of words,
-and a bucket's blocks are merged to one row with its words, training counts by context, and tokens.  Sweeps and scoring go over these rows;
-seating is drawn from seeds by bucket and sweep, so scoring repeats the draws of the sweeps instead of keeping tables.  What travels to the
-driver is CONTEXTS sums for each bucket.  Partial scores go back to slices in blocks likewise.
+and a bucket's blocks are merged to one row with its words, training counts by (word, context), and tokens.  Sweeps and scoring go over
+these rows; seating is drawn from seeds by bucket and sweep, so scoring repeats the draws of the sweeps instead of keeping tables.
+
+A context's words are in many buckets.  Its customers and tables are summed in a part of its own: a bucket sends what it holds of each
+context and gets the sums back in the same order.  Contexts where no word comes twice have a table for each customer in every sweep and
+are asked for once.  The rows are stored by bucket, so that the answers travel to them and not the other way.  What travels to the driver
+is the classes' sums for each bucket.  Partial scores go back to slices in blocks likewise.
 
 Nulls and edges: a null text is empty and consists of its end; a null doc_id is neither held out nor learned from; repeated rows count and are
 scored each; with nothing to learn from both scores are 0; an empty table gives no rows; other columns are ignored.
@@ -17,26 +20,37 @@ scored each; with nothing to learn from both scores are 0; an empty table gives
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, documents, hashed, ids, mix, raw, remainder, slices, split_all, texts
 from .subword import indexed
 
-CONTEXTS, SWEEPS, BURN_IN, STRENGTH = 256, 4, 2, 1.0
-#: Tokens of a bucket that are scored at once.
-AT_ONCE = 200_000
+CLASSES, SWEEPS, BURN_IN, STRENGTH = 256, 4, 2, 1.0
 SLICE = 4 << 20
 END = b"\n"  # no word holds it
 UNTRAINED = np.uint16(1 << 15)
 BLOCKS = "bucket int, slice long, block binary"
-MERGED = "bucket int, slice long, docs binary, words long, counts binary, cells binary, tokens binary, sizes binary"
+MERGED = "bucket int, slice long, docs binary, counts binary, contexts binary, cells binary, tokens binary"
+ASKED = "part int, bucket int, block binary"
+ANSWERED = "bucket int, part int, block binary"
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
+def evenly(spark: SparkSession, n: int) -> np.ndarray:
+    """n numbers of which an exchange to n partitions deals one to each, as buckets that share a task share its memory."""
+    size = 8 * n
+    while True:
+        rows = spark.range(size).groupBy(F.pmod(F.hash(F.col("id").cast("int")), F.lit(n))).agg(F.min("id").alias("id")).collect()
+        if len(rows) == n:
+            return np.array(sorted(r.id for r in rows), np.int32)
+        size *= 2
+
+
 def packed(*arrays: np.ndarray) -> bytes:
     return b"".join([np.array([len(arrays), *(x.nbytes for x in arrays)], "<i8").tobytes(), *(x.tobytes() for x in arrays)])
 
@@ -48,13 +62,29 @@ def unpacked(data: bytes, *kinds) -> list[np.ndarray]:
     return [np.frombuffer(data[e - s : e], k) for s, e, k in zip(sizes.tolist(), ends.tolist(), kinds)]
 
 
-def contexts(words: list[bytes]) -> np.ndarray:
-    """The class that each word is as a context; 0 is that of a text's start."""
+def whole(x: np.ndarray) -> np.ndarray:
+    """x, of whole numbers, in the fewest bytes."""
+    return x.astype(next(k for k in ("u1", "<u2", "<u4") if x.max(initial=0) <= np.iinfo(k).max) if x.max(initial=0) < 1 << 32 else "<i8")
+
+
+def opened(data: bytes, n: int) -> list[np.ndarray]:
+    """The arrays that whole() packed, each with n numbers."""
+    return [x.view({0: "u1", 1: "u1", 2: "<u2", 4: "<u4", 8: "<i8"}[len(x) // max(1, n)]).astype(np.int64) for x in unpacked(data, *["u1"] * 9)]
+
+
+def contexts(words: list[bytes], h: np.ndarray) -> np.ndarray:
+    """What each word is as a context: 56 bits of its hash, then its class."""
     two = np.frombuffer(b"".join([w[-2:].rjust(2) for w in words]), "<u2").astype(np.uint64) if words else np.zeros(0, np.uint64)
-    return (mix(two + np.uint64(11)) % np.uint64(CONTEXTS - 1) + np.uint64(1)).astype(np.uint8)
+    return h & ~np.uint64(CLASSES - 1) | mix(two + np.uint64(11)) % np.uint64(CLASSES)
+
 
+def _listed(context: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The contexts in use, and each token's number among them in 16 bits or 32."""
+    own, of = np.unique(before, return_inverse=True)
+    return context[own], of.astype("<u2" if len(own) <= 1 << 16 else "<u4")
 
-def _split(buckets: int):
+
+def _split(buckets: np.ndarray):
     """Blocks of (bucket, slice): word hashes, tokens of each word, and each token's context and document; and the slice's documents."""
 
     def run(batches):
@@ -66,46 +96,57 @@ def _split(buckets: int):
             lists = [t.lower().split() for t in raw(b)]
             owner, trained = ids(b), ids(b, "trained").to_numpy(zero_copy_only=False).astype(bool)
             n = np.array([len(x) + 1 for x in lists], np.int64)
-            distinct, token = indexed([w for x in lists for w in (*x, END)])
-            before = contexts(distinct)[np.concatenate([[0], token[:-1]])]
-            before[np.cumsum(n) - n] = 0
+            words = [w for x in lists for w in (*x, END)]
+            del lists
+            distinct, token = indexed(words)
+            del words
             doc = np.repeat(np.where(trained, 0, UNTRAINED).astype(np.uint16) | np.arange(len(n), dtype=np.uint16), n)
             h = hashed(distinct)
-            bucket = (mix(h) % np.uint64(buckets)).astype(np.int32)
+            context, before = np.unique(contexts(distinct, h), return_inverse=True)
+            before = before[token[np.arange(len(token)) - 1]]  # a text's start follows the end of one
+            bucket = buckets[mix(h) % np.uint64(len(buckets))]
             rank = np.empty(len(h), np.int32)
             word_order = np.lexsort((h, bucket))
             rank[word_order] = np.arange(len(h), dtype=np.int32)
-            order = np.argsort(rank[token], kind="stable")
+            order = np.argsort(rank[token].astype(np.int64) * len(context) + before, kind="stable")
             h, bucket, size = h[word_order], bucket[word_order], np.bincount(token, minlength=len(h))[word_order].astype(np.uint32)
             ends = np.cumsum(size)
             before, doc = before[order], doc[order]
             cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-            rows = [(-1 - int(mix(np.array([number], np.uint64))[0] % np.uint64(buckets)), packed(np.array(owner.fill_null(0).to_numpy(), np.int64), np.array(owner.is_valid().to_numpy(zero_copy_only=False), np.uint8), np.array(ids(b, "held").to_numpy(zero_copy_only=False), np.uint8), n))]
+            rows = [(-1 - int(mix(np.array([number], np.uint64))[0] % np.uint64(len(buckets))), packed(np.array(owner.fill_null(0).to_numpy(), np.int64), np.array(owner.is_valid().to_numpy(zero_copy_only=False), np.uint8), np.array(ids(b, "held").to_numpy(zero_copy_only=False), np.uint8), n))]
             for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(h)]):
                 t0, t1 = int(ends[s] - size[s]), int(ends[e - 1])
-                rows.append((int(bucket[s]), packed(h[s:e], size[s:e], before[t0:t1], doc[t0:t1])))
+                rows.append((int(bucket[s]), packed(h[s:e], size[s:e], *_listed(context, before[t0:t1]), doc[t0:t1])))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([number] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "slice", "block"])
 
     return run
 
 
 def _merge(bucket: int, parts: list[tuple[int, bytes]]) -> dict:
-    """A bucket's words in the order of their hashes, training counts by (word, context), and tokens by word with slice and document."""
+    """A bucket's words and contexts in the order of their hashes, training counts by (word, context), and tokens by (word, context) with slice and document."""
     names = np.array(sorted({s for s, _ in parts}), np.int64)
-    opened = [(np.searchsorted(names, s), *unpacked(x, "<u8", "<u4", "u1", "<u2")) for s, x in parts]
-    h, of = np.unique(np.concatenate([x[1] for x in opened]), return_inverse=True)
-    word = np.repeat(of.astype(np.int32), np.concatenate([x[2] for x in opened]))
-    before, doc = np.concatenate([x[3] for x in opened]), np.concatenate([x[4] for x in opened])
-    place = np.repeat(np.array([x[0] for x in opened], np.uint32), [len(x[3]) for x in opened])
-    order = np.argsort(word, kind="stable")
-    word, before, doc, place = word[order], before[order], doc[order], place[order]
+    blocks = [(np.searchsorted(names, s), *unpacked(x, "<u8", "<u4", "<u8", "u1", "<u2")) for s, x in parts]
+    h, of = np.unique(np.concatenate([x[1] for x in blocks]), return_inverse=True)
+    word = np.repeat(of.astype(np.int64), np.concatenate([x[2] for x in blocks]))
+    context, of = np.unique(np.concatenate([x[3] for x in blocks]), return_inverse=True)
+    first = np.cumsum([0, *(len(x[3]) for x in blocks)])
+    before = np.concatenate([of[f + x[4].view("<u2" if len(x[4]) == 2 * len(x[5]) else "<u4").astype(np.int64)] for f, x in zip(first.tolist(), blocks)])
+    doc = np.concatenate([x[5] for x in blocks])
+    place = np.repeat(np.array([x[0] for x in blocks], np.uint32), [len(x[5]) for x in blocks])
+    key = word * len(context) + before
+    order = np.argsort(key, kind="stable")
+    key, doc, place = key[order], doc[order], place[order]
+    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     trained = doc < UNTRAINED
-    pair, c = np.unique(word[trained].astype(np.int64) * CONTEXTS + before[trained], return_counts=True)
-    return {"bucket": bucket, "slice": None, "docs": None, "words": len(h), "counts": packed(np.bincount(word[trained], minlength=len(h)).astype("<u4")), "cells": packed(pair, c.astype("<u4")), "tokens": packed(before, doc & ~UNTRAINED, place, names), "sizes": packed(np.bincount(word, minlength=len(h)).astype("<u4"))}
+    c = np.add.reduceat(trained, new, dtype=np.int64)
+    cell = key[new]
+    count = np.bincount(word[order][trained], minlength=len(h))
+    sizes = np.diff(np.concatenate([new, [len(key)]]))
+    return {"bucket": bucket, "slice": None, "docs": None, "counts": packed(count.astype("<u4")), "contexts": packed(context), "cells": packed(np.bincount(cell // len(context), minlength=len(h)).astype("<u4"), (cell % len(context)).astype("<u4"), c.astype("<u4")), "tokens": packed(sizes.astype("<u4"), doc & ~UNTRAINED, place, names)}
 
 
 def _merged(batches):
-    schema = pa.schema([("bucket", pa.int32()), ("slice", pa.int64()), ("docs", pa.binary()), ("words", pa.int64()), *((x, pa.binary()) for x in ("counts", "cells", "tokens", "sizes"))])
+    schema = pa.schema([("bucket", pa.int32()), ("slice", pa.int64()), *((x, pa.binary()) for x in ("docs", "counts", "contexts", "cells", "tokens"))])
     empty = dict.fromkeys(schema.names)
     now, parts = None, []
     for b in batches:
@@ -140,38 +181,118 @@ def seat(c: np.ndarray, a: np.ndarray, discount: float, rng: np.random.Generator
     return tables
 
 
-def _chain(bucket: int, count: np.ndarray, pair: np.ndarray, c: np.ndarray, known: list[dict]):
-    """For each sweep whose totals are known: tables of each (word, context) and customers of each word at the root."""
-    word, before = pair // CONTEXTS, pair % CONTEXTS
-    at_root = count.astype(np.float64)
-    for i, g in enumerate(known):
-        parent = np.maximum(at_root - g["root_discount"], 0) / (STRENGTH + g["root"])
-        rng = np.random.default_rng([bucket, i])
-        tables = seat(c, (STRENGTH + g["discount"] * g["tables"][before]) * parent[word], g["discount"], rng)
-        at_root = np.bincount(word, tables, len(count))
-        yield tables, at_root
+class Bucket:
+    """A bucket's counts: cells are (word, context), upper cells (word, class of the context)."""
+
+    def __init__(self, row: dict, parts: np.ndarray):
+        self.number = row["bucket"]
+        (self.count,), (self.context,) = unpacked(row["counts"], "<u4"), unpacked(row["contexts"], "<u8")
+        n, self.before, c = unpacked(row["cells"], "<u4", "<u4", "<u4")
+        self.c = c.astype(np.int64)
+        self.word = np.repeat(np.arange(len(n), dtype=np.int64), n)
+        kind = (self.context & np.uint64(CLASSES - 1)).astype(np.int64)
+        upper, self.up = np.unique(self.word * CLASSES + kind[self.before], return_inverse=True)
+        self.up_word, self.kind = upper // CLASSES, upper % CLASSES
+        self.parts = parts
+        self.told: dict[int, list[np.ndarray]] = {}
+        answers = sorted((a["sweep"], a["part"], a["block"]) for a in row.get("answers") or [])
+        asked = np.arange(len(self.context))
+        for sweep in sorted({a[0] for a in answers}):
+            sums = [np.zeros(len(self.context), np.int64) for _ in range(1 if sweep else 2)]
+            places = dict(self.dealt(asked))
+            for _, part, block in (a for a in answers if a[0] == sweep):
+                for to, x in zip(sums, opened(block, len(places[part]))):
+                    to[places[part]] = x
+            if sweep:  # tables beyond one for each cell
+                sums = [self.told[0][1] + sums[0]]
+            self.told[sweep] = sums
+            if not sweep:
+                asked = np.flatnonzero(sums[0] > sums[1])
+        self.asked = asked
+
+    def dealt(self, some: np.ndarray):
+        """Numbers of contexts by the part that sums them."""
+        part = self.parts[mix(self.context[some]) % np.uint64(len(self.parts))]
+        order = np.argsort(part, kind="stable")
+        names, first = np.unique(part[order], return_index=True)
+        return zip(names.tolist(), np.split(some[order], first[1:]))
+
+    def tables(self, sweep: int) -> np.ndarray:
+        """All tables of each context after a sweep; one for each of its cells before the first."""
+        return self.told.get(sweep, self.told[0])[-1]  # a bucket may have asked for none
+
+    def root(self, at_root: np.ndarray, g: dict) -> np.ndarray:
+        seen = self.count > 0
+        return np.where(seen, np.maximum(at_root - g["root_discount"], 0), STRENGTH + g["root_discount"] * g["words"]) / (STRENGTH + g["root"])
+
+    def upper(self, at: np.ndarray, tables: np.ndarray, root: np.ndarray, g: dict) -> np.ndarray:
+        """Probability of each upper cell's word in its class."""
+        return (at - g["up_discount"] * tables + (STRENGTH + g["up_discount"] * g["tables"][self.kind]) * root[self.up_word]) / (STRENGTH + g["customers"][self.kind])
+
+    def chain(self, known: list[dict]):
+        """The start, and each sweep whose totals are known: tables of each cell, customers and tables of each upper cell, customers of each word at the root."""
+        tables = (self.c > 0).astype(np.int64)
+        for i in range(len(known) + 1):
+            if i:
+                g, rng = known[i - 1], np.random.default_rng([self.number, i])
+                root = self.root(at_root, g)  # noqa: F821
+                a = (STRENGTH + g["discount"] * self.tables(i - 1)[self.before]) * self.upper(at, up, root, g)[self.up]  # noqa: F821
+                tables = seat(self.c, a, g["discount"], rng) * (self.c > 0)
+            at = np.bincount(self.up, tables, len(self.kind)).astype(np.int64)
+            up = seat(at, (STRENGTH + g["up_discount"] * g["tables"][self.kind]) * root[self.up_word], g["up_discount"], rng) * (at > 0) if i else (at > 0).astype(np.int64)
+            at_root = np.bincount(self.up_word, up, len(self.count))
+            yield tables, at, up, at_root
+
+
+def _rows(batches):
+    for b in batches:
+        for i in range(b.num_rows):
+            yield from b.slice(i, 1).to_pylist()
 
 
-def _totals(known: list[dict]):
-    """Sums of one bucket: at first counts, then those of the newest sweep."""
+def _asks(known: list[dict], parts: np.ndarray):
+    """What a bucket holds of each context after the newest sweep, by the part that sums it, and in a part below 0 the bucket's sums."""
 
     def run(batches):
-        for b in batches:
-            for bucket, counts, cells in zip(ids(b, "bucket").to_pylist(), ids(b, "counts").to_pylist(), ids(b, "cells").to_pylist()):
-                (count,), (pair, c) = unpacked(counts, "<u4"), unpacked(cells, "<i8", "<u4")
-                c = c.astype(np.int64)
-                if known:
-                    for tables, at_root in _chain(bucket, count, pair, c, known):
-                        pass
-                else:
-                    tables, at_root = np.ones(len(c)), count
-                customers = np.bincount(pair % CONTEXTS, c, CONTEXTS)
-                out = np.concatenate([customers, np.bincount(pair % CONTEXTS, tables, CONTEXTS), [(count > 0).sum(), (at_root == 1).sum(), (at_root == 2).sum(), (c == 1).sum(), (c == 2).sum()]])
-                yield pa.RecordBatch.from_arrays([pa.array([out], pa.list_(pa.float64()))], names=["sums"])
+        for own in (Bucket(row, parts) for row in _rows(batches)):
+            for tables, at, up, at_root in own.chain(known):
+                pass
+            n, c = len(own.context), own.c
+            sums = np.concatenate([np.bincount(own.kind, at, CLASSES), np.bincount(own.kind, up, CLASSES), [(own.count > 0).sum(), (at_root == 1).sum(), (at_root == 2).sum(), (at == 1).sum(), (at == 2).sum(), (c == 1).sum(), (c == 2).sum(), c.sum()]])
+            out = [(-1 - own.number, sums.astype("<f8").tobytes())]
+            values = [np.bincount(own.before, tables - (c > 0), n)] if known else [np.bincount(own.before, c, n), np.bincount(own.before, tables, n)]
+            out += [(part, packed(own.context[some], *(whole(x[some]) for x in values))) for part, some in own.dealt(own.asked)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([own.number] * len(out), pa.int32()), pa.array([x[1] for x in out], pa.binary())], names=["part", "bucket", "block"])
 
     return run
 
 
+def _answers(batches):
+    """To each bucket that asked a part, the sums of its contexts in the order of its asking; sums of buckets as they are."""
+
+    def summed(part: int, asked: list[tuple[int, bytes]]):
+        hashes = [unpacked(x, "<u8")[0] for _, x in asked]
+        context, of = np.unique(np.concatenate(hashes), return_inverse=True)
+        values = [opened(x, len(h))[1:] for h, (_, x) in zip(hashes, asked)]
+        sums = [np.bincount(of, np.concatenate(x), len(context)).astype(np.int64)[of] for x in zip(*values)]
+        ends = np.cumsum([len(h) for h in hashes]).tolist()
+        blocks = [packed(*(whole(x[e - len(h) : e]) for x in sums)) for h, e in zip(hashes, ends)]
+        return pa.RecordBatch.from_arrays([pa.array([b for b, _ in asked], pa.int32()), pa.array([part] * len(asked), pa.int32()), pa.array(blocks, pa.binary())], names=["bucket", "part", "block"])
+
+    now, asked = None, []
+    for row in _rows(batches):
+        if row["part"] < 0:
+            yield pa.RecordBatch.from_arrays([pa.array([row["part"]], pa.int32()), pa.array([-1], pa.int32()), pa.array([row["block"]], pa.binary())], names=["bucket", "part", "block"])
+            continue
+        if row["part"] != now and asked:
+            yield summed(now, asked)
+            asked = []
+        now = row["part"]
+        asked.append((row["bucket"], row["block"]))
+    if asked:
+        yield summed(now, asked)
+
+
 #: Fixed-point units of partial base scores on their way back.
 UNIT = float(1 << 21)
 
@@ -194,36 +315,25 @@ def _grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key[new].astype(np.int64), of
 
 
-def _scored(known: list[dict]):
+def _scored(known: list[dict], parts: np.ndarray):
     """For each (bucket, slice): documents with tokens there, and sums over those tokens."""
-    last = known[-1]
-    c_u = last["customers"]
 
     def run(batches):
-        for b in batches:
-            for row in (r for i in range(b.num_rows) for r in b.slice(i, 1).to_pylist()):
-                (count,), (pair, c), (size,) = unpacked(row["counts"], "<u4"), unpacked(row["cells"], "<i8", "<u4"), unpacked(row["sizes"], "<u4")
-                before, doc, place, names = unpacked(row["tokens"], "u1", "<u2", "<u4", "<i8")
-                word = np.repeat(np.arange(len(count), dtype=np.int32), size)
-                samples = [(known[i + 1], *x) for i, x in enumerate(_chain(row["bucket"], count, pair, c.astype(np.int64), known[:-1])) if i >= BURN_IN]
-                who, of = _grouped(place.astype(np.uint32 if len(names) < 1 << 16 else np.int64) << 16 | doc)
-                sums = np.zeros((3, len(who)))
-                for t in range(0, len(word), AT_ONCE):
-                    w, u, o = word[t : t + AT_ONCE], before[t : t + AT_ONCE], of[t : t + AT_ONCE]
-                    mine = w.astype(np.int64) * CONTEXTS + u
-                    k = np.minimum(np.searchsorted(pair, mine), max(0, len(pair) - 1))
-                    hit = pair[k] == mine if len(pair) else np.zeros(len(mine), bool)
-                    k, seen, p = k[hit], count[w] > 0, np.zeros(len(mine))
-                    for g, tables, at_root in samples:  # g: the totals that the sweep came to
-                        root = np.where(seen, at_root[w] - g["root_discount"], STRENGTH + g["root_discount"] * g["words"]) / (STRENGTH + g["root"])
-                        own = np.zeros(len(mine))
-                        own[hit] = c[k] - g["discount"] * tables[k]
-                        p += (own + (STRENGTH + g["discount"] * g["tables"][u]) * root) / (STRENGTH + c_u[u])
-                    for i, x in enumerate((np.log10(p / len(samples)), np.log10(count[w] + 0.5), seen)):
-                        sums[i] += np.bincount(o, x, len(who))
-                cut = np.searchsorted(who >> 16, np.arange(len(names) + 1)).tolist()
-                blocks = [packed((who[s:e] & 0xFFFF).astype("<u2"), sums[0][s:e].astype("<f4"), *_fixed(sums[1][s:e]), sums[2][s:e].astype("<u2" if e == s or sums[2][s:e].max() < 1 << 16 else "<u4")) for s, e in zip(cut[:-1], cut[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(blocks, pa.binary()), pa.array([False] * len(names))], names=["slice", "block", "is_docs"])
+        for row in _rows(batches):
+            own = Bucket(row, parts)
+            size, doc, place, names = unpacked(row["tokens"], "<u4", "<u2", "<u4", "<i8")
+            customers, p, n = own.told[0][0], np.zeros(len(own.c)), 0
+            for i, (tables, at, up, at_root) in enumerate(own.chain(known[:-1])):
+                if i > BURN_IN:
+                    g, n = known[i], n + 1  # the totals that the sweep came to
+                    parent = own.upper(at, up, own.root(at_root, g), g)[own.up]
+                    p += (own.c - g["discount"] * tables + (STRENGTH + g["discount"] * own.tables(i)[own.before]) * parent) / (STRENGTH + customers[own.before])
+            who, of = _grouped(place.astype(np.uint32 if len(names) < 1 << 16 else np.int64) << 16 | doc)
+            count = own.count[own.word]
+            sums = [np.bincount(of, np.repeat(x, size), len(who)) for x in (np.log10(p / n), np.log10(count + 0.5), count > 0)]
+            cut = np.searchsorted(who >> 16, np.arange(len(names) + 1)).tolist()
+            blocks = [packed((who[s:e] & 0xFFFF).astype("<u2"), sums[0][s:e].astype("<f4"), *_fixed(sums[1][s:e]), sums[2][s:e].astype("<u2" if e == s or sums[2][s:e].max() < 1 << 16 else "<u4")) for s, e in zip(cut[:-1], cut[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(blocks, pa.binary()), pa.array([False] * len(names))], names=["slice", "block", "is_docs"])
 
     return run
 
@@ -264,23 +374,36 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     """held_out: a boolean column of the rows not to learn from, null for rows neither held out nor learned from."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 3 * max(shuffle, docs.rdd.getNumPartitions()) // 2
+    buckets = 3 * max(shuffle, docs.rdd.getNumPartitions())
+    names = evenly(spark, buckets)
     rows = texts(docs, F.coalesce(held_out, F.lit(False)).alias("held"), F.coalesce(~held_out, F.lit(False)).alias("trained"))
-    blocks = rows.mapInArrow(_split(buckets), BLOCKS)
-    merged = scratch.table(blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_merged, MERGED), "merged")
+    blocks = rows.mapInArrow(_split(names), BLOCKS)
+    merged = scratch.bucketed(blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_merged, MERGED), "merged", buckets, "bucket")
     counted = merged.where("bucket >= 0")
     known: list[dict] = []
+    told: list[DataFrame] = []
+
+    def rows_with_answers(*more: str) -> DataFrame:
+        rows = counted.select("bucket", "counts", "contexts", "cells", *more)
+        if not told:
+            return rows
+        answers = reduce(DataFrame.unionByName, told).groupBy("bucket").agg(F.collect_list(F.struct("sweep", "part", "block")).alias("answers"))
+        return rows.join(answers.hint("merge"), "bucket", "left")
+
     for i in range(SWEEPS + 1):
-        sums = np.zeros(2 * CONTEXTS + 5)
-        for r in counted.select("bucket", "counts", "cells").mapInArrow(_totals(known), "sums array<double>").toLocalIterator():
-            sums += np.array(r.sums)
-        words, root1, root2, once, twice = sums[2 * CONTEXTS :]
-        tables = sums[CONTEXTS : 2 * CONTEXTS]
-        known.append({"customers": sums[:CONTEXTS], "tables": tables, "root": tables.sum() if i else sums[:CONTEXTS].sum(), "words": words, "root_discount": root1 / max(1.0, root1 + 2 * root2), "discount": once / max(1.0, once + 2 * twice)})
-    out = counted.select("bucket", "counts", "cells", "sizes", "tokens").mapInArrow(_scored(known), "slice long, block binary, is_docs boolean")
+        asked = rows_with_answers().mapInArrow(_asks(known, names), ASKED)
+        answered = scratch.table(asked.repartition(buckets, "part").sortWithinPartitions("part").mapInArrow(_answers, ANSWERED), "answered")
+        sums = np.zeros(2 * CLASSES + 8)
+        for r in answered.where("bucket < 0").select("block").toLocalIterator():
+            sums += np.frombuffer(r.block, "<f8")
+        words, root1, root2, up1, up2, once, twice, n_train = sums[2 * CLASSES :]
+        tables = sums[CLASSES : 2 * CLASSES]
+        known.append({"customers": sums[:CLASSES], "tables": tables, "root": tables.sum(), "words": words, "n_train": n_train, **{k: a / max(1.0, a + 2 * b) for k, a, b in (("root_discount", root1, root2), ("up_discount", up1, up2), ("discount", once, twice))}})
+        told.append(answered.where("bucket >= 0").withColumn("sweep", F.lit(i)))
+    out = rows_with_answers("tokens").mapInArrow(_scored(known, names), "slice long, block binary, is_docs boolean")
     listed = merged.where("bucket < 0").select("slice", F.col("docs").alias("block"), F.lit(True).alias("is_docs"))
     back = out.unionByName(listed).repartition(shuffle, "slice").sortWithinPartitions("slice", F.desc("is_docs"))
-    return back.mapInArrow(_summed(float(known[0]["customers"].sum()), float(known[0]["words"])), RESULT)
+    return back.mapInArrow(_summed(float(known[0]["n_train"]), float(known[0]["words"])), RESULT)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

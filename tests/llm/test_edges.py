@@ -90,3 +90,11 @@ def test_packing(spark):
     want = sum(len(tok.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in TEXTS)
     assert sum(r.length for r in got) == want
     assert op10_packing.pack(d.where(F.lit(False))).count() == 0
+
+
+def test_whole_words_are_contexts(spark):
+    # both contexts end in the same two bytes
+    docs = [(i, "xxab pine") for i in range(40)] + [(i, "yyab quay") for i in range(40, 80)] + [(80, "xxab pine"), (81, "xxab quay"), (82, "yyab pine"), (83, "yyab quay")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in op6_pitman_yor.score(d, F.col("doc_id") >= 80).collect()}
+    assert got[80] > got[81] + 0.5 and got[83] > got[82] + 0.5
