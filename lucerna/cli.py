@@ -136,8 +136,9 @@ def validate(spark, a) -> int:
 def report(spark, a) -> int:
     data = Folder(spark, a.data)
     sources = data.document(a.diagnostics).get("sources", {}) if a.diagnostics else {}
-    issues = [{k: v for k, v in r.asDict().items() if v is not None} for r in _issues(data).limit(a.most_issues).collect()]
-    print(json.dumps(documents.report(data.all(), _errors(spark, data, a.schemas), issues, sources), indent=2, sort_keys=True, ensure_ascii=False))
+    found = _issues(data)
+    issues = [{k: v for k, v in r.asDict().items() if v is not None} for r in found.limit(a.most_issues).collect()]
+    print(json.dumps(documents.report(data.all(), _errors(spark, data, a.schemas), issues, sources, found.count()), indent=2, sort_keys=True, ensure_ascii=False))
     return 0
 
 

@@ -178,8 +178,12 @@ def _metric(rows: DataFrame, how: str, fields: tuple[str, ...]) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
-def report(tables: dict[str, DataFrame], errors: dict[str, list[str]], issues: list[dict], sources: dict[str, dict]) -> dict:
-    """The coverage report.  Only one-row aggregates, counts by source and at most 20 examples come to the driver."""
+def report(tables: dict[str, DataFrame], errors: dict[str, list[str]], issues: list[dict], sources: dict[str, dict], n_issues: int | None = None) -> dict:
+    """The coverage report.  Only one-row aggregates, counts by source and at most 20 examples come to the driver.
+
+    n_issues: how many issues there are where those listed are the first of more.
+    """
+    n_issues = len(issues) if n_issues is None else n_issues
     found = {}
     for name, metrics in METRICS.items():
         rows = tables[name]
@@ -203,9 +207,9 @@ def report(tables: dict[str, DataFrame], errors: dict[str, list[str]], issues: l
         if failed > 0:
             warnings.append({"source_id": k, "final_failures": failed, "failure_budget": budget, "message": f"{k}: {failed} final failures (budget {budget})" + (" [EXCEEDED]" if failed > budget else "")})
     return {
-        "summary": {"total_datasets": len(errors), "invalid_datasets": sum(map(bool, errors.values())), "integrity_issues": len(issues)},
+        "summary": {"total_datasets": len(errors), "invalid_datasets": sum(map(bool, errors.values())), "integrity_issues": n_issues},
         "schema_validation": {"datasets": errors},
-        "integrity": {"issues": issues},
+        "integrity": {"issues": issues} | ({"listed": len(issues), "total": n_issues} if n_issues > len(issues) else {}),
         "scrape_diagnostics": {"sources": dict(sorted(sources.items())), "warnings": warnings, "warning_count": len(warnings)},
         "coverage": found,
     }

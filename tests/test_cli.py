@@ -52,3 +52,16 @@ def test_commands(spark, data, capsys):
     assert run("validate", "--data", at, "--schemas", at) == 1
     said = capsys.readouterr().out
     assert "aulas: [0].capacity: minimum" in said and "error aulas.json a: place_id 'none' does not exist" in said
+
+
+def test_report_counts_all_issues(spark, data, capsys):
+    (data / "aulas.json").write_text(json.dumps([{"aula_id": x, "place_id": "none", "name": "x"} for x in "abc"]))
+    report = lambda *more: main(["report", "--data", f"file://{data}", "--schemas", f"file://{data}", *more], spark)
+    capsys.readouterr()
+    assert report() == 0
+    whole = json.loads(capsys.readouterr().out)
+    assert report("--most-issues", "1") == 0
+    cut = json.loads(capsys.readouterr().out)
+    total = whole["summary"]["integrity_issues"]
+    assert total == len(whole["integrity"]["issues"]) >= 3 and set(whole["integrity"]) == {"issues"}
+    assert cut["summary"]["integrity_issues"] == total and cut["integrity"] == {"issues": whole["integrity"]["issues"][:1], "listed": 1, "total": total}
