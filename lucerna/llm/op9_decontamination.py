@@ -6,10 +6,10 @@ symbols how far a position can move on; a block that ends some pattern has shift
 which are compared symbol by symbol.  Many places of many documents move on at once, each by its own shift.
 
 The tables are built in blocks of `block_items` items, so that a broadcast's size has a bound whatever the benchmark's; with several blocks
-each one is a pass over the documents and what the passes found is merged by document.
+each one is a pass over the documents and what the passes found is merged by doc_id and SHA-256 of the text, then given to each equal row.
 
 Nulls and edges: null or wordless texts have no words and no hits; null or wordless items are no patterns; a null item_id is left out;
-repeated document rows each get their own row (with several blocks, rows of one doc_id and text share one); an empty table gives no rows or no hits.
+repeated document rows each get their own row; an empty table gives no rows or no hits.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ WINDOW = 13
 BLOCK_ITEMS = 20_000
 #: Places in a document that one search lane starts from.
 LANE = 256
-FOUND = "doc_id long, n_words long, spans array<long>, items array<long>"
+FOUND = "doc_id long, n_words long, spans array<long>, items array<long>, content binary"
 RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
 
@@ -89,8 +89,8 @@ class Patterns:
         return out
 
 
-def found(docs: DataFrame, patterns) -> DataFrame:
-    """For every document the covered spans (begin, end, begin, end, ...) and the items found."""
+def found(docs: DataFrame, patterns, content: bool = False) -> DataFrame:
+    """For every document the covered spans (begin, end, begin, end, ...), the items found and, if wanted, a hash of the text."""
 
     def run(batches):
         pats = patterns.value
@@ -108,7 +108,7 @@ def found(docs: DataFrame, patterns) -> DataFrame:
                 spans += [first - int(starts[d]), past - int(starts[d])]
                 own |= items
             none: tuple[list, set] = ([], set())
-            yield pa.RecordBatch.from_arrays([ids(b), pa.array(np.diff(starts)), pa.array([hits.get(d, none)[0] for d in range(len(starts) - 1)], pa.list_(pa.int64())), pa.array([sorted(hits.get(d, none)[1]) for d in range(len(starts) - 1)], pa.list_(pa.int64()))], names=["doc_id", "n_words", "spans", "items"])
+            yield pa.RecordBatch.from_arrays([ids(b), pa.array(np.diff(starts)), pa.array([hits.get(d, none)[0] for d in range(len(starts) - 1)], pa.list_(pa.int64())), pa.array([sorted(hits.get(d, none)[1]) for d in range(len(starts) - 1)], pa.list_(pa.int64())), pa.array([hashlib.sha256(t).digest() if content else None for t in raw(b)], pa.binary())], names=["doc_id", "n_words", "spans", "items", "content"])
 
     return texts(docs).mapInArrow(run, FOUND)
 
@@ -130,6 +130,13 @@ def _summary(batches):
         yield pa.RecordBatch.from_arrays([ids(b), ids(b, "n_words"), pa.array(hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array(sha, pa.string()), pa.array([h > 0 and 20 * h >= k for h, k in zip(hit, n)], pa.bool_())], names=[c.split()[0] for c in RESULT.split(", ")])
 
 
+def _summary_of_equal(batches):
+    """The same with how often each document was found in all passes."""
+    for b in batches:
+        (out,) = _summary([b])
+        yield pa.RecordBatch.from_arrays([*out.columns, ids(b, "n")], names=[*out.schema.names, "n"])
+
+
 def blocks(benchmark: DataFrame, block_items: int):
     """Lists of (item_id, bytes), each of at most about block_items items."""
     items = benchmark.select(F.col("item_id").cast("long").alias("i"), F.col("text").cast("string").alias("t")).where("i is not null and t is not null")
@@ -142,14 +149,16 @@ def blocks(benchmark: DataFrame, block_items: int):
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """One row per document with its hit words and the items that it holds."""
     sc = docs.sparkSession.sparkContext
-    passes = [found(docs, sc.broadcast(Patterns(part, window))) for part in blocks(benchmark, block_items)]
-    if len(passes) == 1:
-        return passes[0].mapInArrow(_summary, RESULT)
+    tables = [sc.broadcast(Patterns(part, window)) for part in blocks(benchmark, block_items)]
+    if len(tables) == 1:
+        return found(docs, tables[0]).mapInArrow(_summary, RESULT)
+    passes = [found(docs, x, content=True) for x in tables]
     merged = None
     for part in passes:
         merged = part if merged is None else merged.unionByName(part)
-    merged = merged.groupBy("doc_id", "n_words").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
-    return merged.mapInArrow(_summary, RESULT)
+    merged = merged.groupBy("doc_id", "content").agg(F.first("n_words").alias("n_words"), F.count("*").alias("n"), F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    equal = F.explode(F.sequence(F.lit(1), (F.col("n") / len(passes)).cast("int")))
+    return merged.mapInArrow(_summary_of_equal, f"{RESULT}, n long").select("*", equal).drop("n", "col")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

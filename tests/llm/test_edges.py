@@ -98,3 +98,10 @@ def test_whole_words_are_contexts(spark):
     d = spark.createDataFrame(docs, "doc_id long, text string")
     got = {r.doc_id: r.score for r in op6_pitman_yor.score(d, F.col("doc_id") >= 80).collect()}
     assert got[80] > got[81] + 0.5 and got[83] > got[82] + 0.5
+
+
+def test_rows_keep_their_own_result_in_blocks(spark):
+    d = table(spark, [(1, "a b c d"), (1, "a b c d"), (1, "w x y z"), (None, "d e"), (None, "x x"), (None, "x x"), (None, None)])
+    items = benchmark(spark, list(enumerate(["a b", "b c", "e", "d e", "q"])))
+    rows = lambda **k: sorted(map(str, op9_decontamination.decontaminate(d, items, **k).collect()))
+    assert rows() == rows(block_items=2) and len(rows(block_items=2)) == 7
