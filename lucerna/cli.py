@@ -143,8 +143,9 @@ def report(spark, a) -> int:
 
 
 def contract(spark, a) -> int:
-    names = [f"{x}.json" for x in DATASETS if Folder(spark, a.data).find(x) == f"{a.data.rstrip('/')}/{x}.json"]
-    print(json.dumps(documents.contract(spark, a.data, names, a.compatibility, a.version, a.id), indent=2, sort_keys=True))
+    data = Folder(spark, a.data)
+    names = [at.rsplit("/", 1)[-1] for at in map(data.find, DATASETS) if at]
+    print(json.dumps(documents.contract(spark, data.path, names, a.compatibility, a.version, a.id, data.read("aulas")), indent=2, sort_keys=True))
     return 0
 
 

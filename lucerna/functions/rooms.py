@@ -209,3 +209,103 @@ def alias_labels(name, room, code) -> Column:
 
 def alias_id(kind, entity, label) -> Column:
     return slug(F.concat_ws("-", F.lit("alias"), F.lower(kind), entity, slug(label)))
+
+
+# Words of resources that are no rooms, patterns and words of names, headings and segments.
+NO_ROOM = ("nessun", "studio docente", "help desk", "sala consiglio", "calcio", "tennis", "padel", "palacus", "vibora", "chiodo")
+PLAIN_NAME = r"^[A-Za-z0-9][A-Za-z0-9 .,_'()/\-]*$"
+OCCASIONS = ("convegno", "evento", "giorni")
+DEPARTMENT_PREFIX = r"^[A-Z]{2,8}\s+(?=[0-9]{1,2}[A-Za-z])"
+GENERIC_HEADINGS = ("aule per ", "aule convegni", "laboratori didattici", "descrizione dei laboratori", "aule del dipartimento")
+DETAIL_HEADINGS = ("responsabile", "preposto", "dotazione", "capienza", "ubicazione", "collocazione")
+LOCATION_WORDS = ("ubicazione", "collocazione", "capienza", "posti", "attrezzature")
+SEGMENT_START = r"(?iU)(Piano Terra|Primo piano|Secondo piano|Terzo piano|Quarto piano|Quinto piano|Sesto piano|Settimo piano|Altra collocazione)\s*(?:\([^)]*\))?\s*:\s*"
+SEGMENT_NAME = r"(?iU)\b(Aula\s+[A-Za-z0-9][A-Za-z0-9'\- ]{0,40})"
+SEGMENT_TAIL = r"(?iU)\b(Link informativo|Evento)\b.*$"
+SIGNAL_CODE = r"(?U)\b[0-9]{1,2}[A-Za-z]\s*[0-9]?[A-Za-z]?\b"
+
+
+def _starts(c, parts) -> Column:
+    out = F.lit(False)
+    for p in parts:
+        out = out | F.startswith(c, F.lit(p))
+    return out
+
+
+def map_room_name(name) -> Column:
+    """A name that starts with `Aula `, without what follows ` - ` if that tells of an occasion; else null."""
+    n = none_if_empty(name)
+    tail = F.when(F.contains(n, F.lit(" - ")), F.substring(n, F.instr(n, " - ") + 3, 1 << 30))
+    cut = F.when(holds(casefold(tail), OCCASIONS), F.substring_index(n, " - ", 1)).otherwise(n)
+    return F.when(F.startswith(casefold(cut), F.lit("aula ")), cut)
+
+
+def outside_room_name(name) -> Column:
+    """Names of other sources: `Aula ...` from anywhere in them, codes with `Aula ` before; null for resources that are no rooms."""
+    n = none_if_empty(name)
+    low = casefold(n)
+    within = _group(n, r"\b(Aula\s+[A-Za-z0-9][A-Za-z0-9'()\- ]{0,40})")
+    code = F.when(is_room_code(n), F.concat(F.lit("Aula "), F.upper(F.regexp_replace(n, r"(?U)\s+", ""))))
+    found = F.when(F.contains(low, F.lit("aula ")) & (within != ""), map_room_name(within)).otherwise(code)
+    return cascade([(holds(low, NO_ROOM), F.lit(None)), (F.startswith(low, F.lit("aula ")), map_room_name(n))], found)
+
+
+def department_room_name(name) -> Column:
+    """Names of departments' pages: laboratories as they are, else as other sources', else `Aula ` and a plain name of 80 characters at most."""
+    n = none_if_empty(F.regexp_replace(none_if_empty(name), DEPARTMENT_PREFIX, ""))
+    plain = F.when(~holds(casefold(n), NO_ROOM) & (F.length(n) <= 80) & F.rlike(n, F.lit(PLAIN_NAME)), F.concat(F.lit("Aula "), n))
+    return F.when(F.startswith(casefold(n), F.lit("laboratorio ")), n).otherwise(F.coalesce(outside_room_name(n), plain))
+
+
+def planner_room_name(name) -> Column:
+    """Names of the planner, which lists rooms only: as other sources', else a plain name of 100 characters at most as it is."""
+    n = none_if_empty(name)
+    plain = F.when((F.length(n) <= 100) & F.rlike(n, F.lit(PLAIN_NAME)), n)
+    return F.when(~holds(casefold(n), NO_ROOM), F.coalesce(outside_room_name(n), plain))
+
+
+def is_generic_heading(c) -> Column:
+    return F.coalesce(_starts(casefold(collapse(c)), GENERIC_HEADINGS), F.lit(False))
+
+
+def is_entry_name(c) -> Column:
+    """Whether a heading of an accordion names one room."""
+    t = collapse(c)
+    return (t != "") & ~is_generic_heading(t) & (_starts(casefold(t), ("aula ", "laboratorio ")) | is_room_code(t))
+
+
+def is_laboratory_heading(c) -> Column:
+    t = collapse(c)
+    return (t != "") & ~is_generic_heading(t) & (F.length(t) <= 80) & ~F.contains(t, F.lit(":")) & ~_starts(casefold(t), DETAIL_HEADINGS) & F.rlike(t, F.lit(PLAIN_NAME))
+
+
+def tells_location(c) -> Column:
+    return F.coalesce(holds(casefold(c), LOCATION_WORDS), F.lit(False))
+
+
+def tells_room(values) -> Column:
+    """Whether an array of texts together names a room: the word, a code, or a code within."""
+    t = collapse(F.array_join(values, " "))
+    return (t != "") & (F.contains(casefold(t), F.lit("aula")) | is_room_code(t) | F.rlike(t, F.lit(SIGNAL_CODE)))
+
+
+def floor_segments(text) -> Column:
+    """array<struct<floor,text>>: what stands between a floor label with a colon and the next one; empty segments go."""
+    marked = F.regexp_replace(F.regexp_replace(text, r"[\x01\x02]", " "), SEGMENT_START, "\x01$1\x02")
+    parts = F.slice(F.split(marked, "\x01"), 2, 1 << 30)
+    labels = F.array(*[F.lit(x) for x in (*FLOORS, ELSEWHERE)])
+    same = lambda said: F.get(F.filter(labels, lambda x: F.lower(x) == casefold(said)), F.lit(0))
+    each = F.transform(parts, lambda p: F.struct(same(F.substring_index(p, "\x02", 1)).alias("floor"), collapse(F.substring_index(p, "\x02", -1)).alias("text")))
+    return F.filter(each, lambda x: x.text != "")
+
+
+def segment_rooms(text) -> Column:
+    """Canonical names of the rooms that a segment lists."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(SEGMENT_NAME), F.lit(1)), lambda x: map_room_name(F.regexp_replace(collapse(x), SEGMENT_TAIL, "")))
+    return F.filter(found, lambda x: x.isNotNull())
+
+
+def quality_score(lat, lng, hint, floor, code, room, seats) -> Column:
+    """How much a raw room tells: 3 for coordinates, 2 for building and floor, 1 for code, room and seats."""
+    said = lambda c: F.nullif(c, F.lit("")).isNotNull()
+    return sum((F.when(x, n).otherwise(0) for x, n in ((lat.isNotNull() & lng.isNotNull(), 3), (said(hint), 2), (said(floor), 2), (said(code), 1), (said(room), 1), (seats.isNotNull(), 1))), F.lit(0))

@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _accents() -> tuple[str, str]:
-    """Letters of the Latin-1 and Latin Extended-A blocks whose decomposition starts with an ASCII letter, and that letter."""
-    pairs = [(chr(c), unicodedata.normalize("NFKD", chr(c))[0]) for c in range(0xC0, 0x180)]
-    pairs = [(a, b) for a, b in pairs if b.isascii() and b.isalpha()]
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+def _decomposed() -> tuple[str, str, list[tuple[str, str]]]:
+    """Letters whose decomposition leaves one ASCII character, with that one, and those that leave several, with all of them."""
+    one, several = [], []
+    for c in range(0x80, 0x110000):
+        if 0xAC00 <= c <= 0xD7A3 or 0xD800 <= c <= 0xDFFF:
+            continue
+        plain = unicodedata.normalize("NFKD", chr(c)).encode("ascii", "ignore").decode()
+        if len(plain) == 1:
+            one.append((chr(c), plain))
+        elif plain:
+            several.append((chr(c), plain))
+    return "".join(a for a, _ in one), "".join(b for _, b in one), several
 
 
-ACCENTED, PLAIN = _accents()
-
+ACCENTED, PLAIN, LONGER = _decomposed()
 #: Honorifics that name keys leave out.
 HONORIFICS = ("prof", "professor", "professore", "professoressa", "dott", "dottor", "dottore", "dottoressa", "dr", "ing", "arch", "avv", "ssa")
 
@@ -30,13 +37,36 @@ def none_if_empty(c) -> Column:
     return F.nullif(collapse(c), F.lit(""))
 
 
+def _folds() -> tuple[str, str, list[tuple[str, str]]]:
+    """Small letters that fold to another one, with that one, and those that fold to several."""
+    pairs = [(chr(c), chr(c).casefold()) for c in range(0x80, 0x110000) if not 0xD800 <= c <= 0xDFFF and chr(c).lower() == chr(c) != chr(c).casefold()]
+    one = [(a, b) for a, b in pairs if len(b) == 1]
+    return "".join(a for a, _ in one), "".join(b for _, b in one), [(a, b) for a, b in pairs if len(b) > 1]
+
+
+FOLDED, TO, APART = _folds()
+
+
+def _class(pairs: list[tuple[str, str]]) -> str:
+    return "[" + "".join(f"\\x{{{ord(a):x}}}" for a, _ in pairs) + "]"
+
+
+def _apart(text: Column, pairs: list[tuple[str, str]]) -> Column:
+    """Text with letters replaced by several; few texts hold such a letter, so only they are taken apart."""
+    letters = F.from_json(F.lit(json.dumps(dict(pairs))), "map<string,string>")
+    spelled = F.array_join(F.transform(F.split(text, ""), lambda x: F.coalesce(letters[x], x)), "")
+    return F.when(F.rlike(text, F.lit(_class(pairs))), spelled).otherwise(text)
+
+
 def casefold(c) -> Column:
-    return F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))
+    """Full case folding of Unicode."""
+    return _apart(F.translate(F.lower(c), FOLDED, TO), APART)
 
 
 def slug(c) -> Column:
     """ASCII letters and digits in lower case, everything else one hyphen; accents of Latin letters are dropped."""
-    plain = F.lower(F.regexp_replace(F.translate(c, ACCENTED, PLAIN), r"[^\x00-\x7F]", ""))
+    whole = _apart(F.col(c) if isinstance(c, str) else c, LONGER)
+    plain = F.lower(F.regexp_replace(F.translate(whole, ACCENTED, PLAIN), r"[^\x00-\x7F]", ""))
     return F.regexp_replace(F.regexp_replace(plain, "[^a-z0-9]+", "-"), "^-|-$", "")
 
 
@@ -91,3 +121,11 @@ def roman(c) -> Column:
 
 def strip_html(c) -> Column:
     return collapse(F.regexp_replace(c, "<[^>]*>", " "))
+
+
+def room_tokens(name, code, room, building) -> Column:
+    """Sorted distinct tokens of a room: slugs of its name, of what follows `aula ` and of its room, with hyphens and without, its code and its building's id."""
+    after = F.when(F.startswith(casefold(name), F.lit("aula ")), slug(F.substring(name, 6, 1 << 30)))
+    slugs = [slug(name), after, slug(room)]
+    tokens = F.array(*slugs, *[F.replace(x, F.lit("-"), F.lit("")) for x in slugs], casefold(code), casefold(building))
+    return F.array_sort(F.array_distinct(F.filter(tokens, lambda t: t.isNotNull() & (t != ""))))

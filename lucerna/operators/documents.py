@@ -215,13 +215,32 @@ def report(tables: dict[str, DataFrame], errors: dict[str, list[str]], issues: l
     }
 
 
-def contract(spark: SparkSession, folder: str, names: list[str], compatibility: int, version: str, contract_id: str) -> dict:
-    """Records and SHA-256 of each dataset's file and a revision over them."""
+def applied(corrected: dict[str, DataFrame], rules: list[dict]) -> dict:
+    """What applying the rules did: datasets, rules considered and applied, rows and fields changed (one row for each dataset comes here)."""
+    rows = {name: df.agg(F.count_if(F.col("changed") > 0).alias("rows"), F.coalesce(F.sum("changed"), F.lit(0)).alias("fields")).first() for name, df in corrected.items()}
+    return {"datasets": len(rows), "rules_considered": len(rules), "rules_applied": sum(r["status"] in APPLYABLE for r in rules), "rows_changed": sum(r["rows"] for r in rows.values()), "fields_changed": sum(r["fields"] for r in rows.values())}
+
+
+def room_coverage(aulas: DataFrame) -> DataFrame:
+    """One row: rooms, and those with a building, a floor and seats; only texts that say something and whole numbers count."""
+    kind = dict(aulas.dtypes)
+    said = lambda c: F.nullif(F.col(c), F.lit("")).isNotNull() if kind.get(c) == "string" else F.lit(False)
+    seats = F.col("capacity").isNotNull() if kind.get("capacity") in ("int", "bigint") else F.lit(False)
+    return aulas.agg(F.count("*").alias("total"), F.count_if(said("building_id")).alias("with_building_id"), F.count_if(said("floor")).alias("with_floor"), F.count_if(seats).alias("with_capacity"))
+
+
+def _digest(spark: SparkSession, path: str) -> str:
+    """SHA-256 of a file; of a folder's parts that of their names' order of digests, each file hashed where it is read."""
+    files = spark.read.format("binaryFile").load(path).where("length > 0 or path like '%.json'").select("path", F.sha2("content", 256).alias("d"))
+    found = [r.d for r in files.orderBy("path").collect()]
+    return found[0] if path.endswith(".json") else hashlib.sha256("\n".join(found).encode()).hexdigest()
+
+
+def contract(spark: SparkSession, folder: str, names: list[str], compatibility: int, version: str, contract_id: str, aulas: DataFrame | None = None) -> dict:
+    """Records and SHA-256 of each dataset and a revision over them; a dataset is a file or a folder of JSON lines.  aulas: the rooms to count."""
     if compatibility < 1:
         raise ValueError("compatibility must be 1 or more")
-    listed = []
-    for name in sorted(names):
-        digest = spark.read.format("binaryFile").load(f"{folder}/{name}").select(F.sha2("content", 256)).first()[0]
-        listed.append({"name": name, "records": json_rows(spark, f"{folder}/{name}").count(), "sha256": digest})
+    listed = [{"name": name, "records": json_rows(spark, f"{folder}/{name}").count(), "sha256": _digest(spark, f"{folder}/{name}")} for name in sorted(names)]
     revision = hashlib.sha256("\n".join(f"{x['name']}:{x['sha256']}:{x['records']}" for x in listed).encode()).hexdigest()
-    return {"contract_id": contract_id, "contract_version": version, "compatibility_version": compatibility, "revision": revision, "datasets": listed}
+    out = {"contract_id": contract_id, "contract_version": version, "compatibility_version": compatibility, "revision": revision, "datasets": listed}
+    return out if aulas is None else out | {"coverage": {"aulas": room_coverage(aulas).first().asDict()}}

@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def issue(rows: DataFrame, level: str, file: str, message: Column, record: Column) -> DataFrame:
@@ -19,9 +18,14 @@ def dangling(rows: DataFrame, fk: str, ref: DataFrame, key: str) -> DataFrame:
 
 
 def repeats(rows: DataFrame, keys: list[str], record: str, order: list[str]) -> DataFrame:
-    """Rows after the first of their key, with the first one's id."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return rows.withColumn("_n", F.row_number().over(w)).withColumn("first_id", F.first(record).over(w)).where("_n > 1").drop("_n")
+    """Rows after the first of their key, with the first one's id; the order tells any two rows of a key apart, null keys are equal.
+
+    The first is found by an aggregate, and only keys of several rows are joined, so a frequent key is no long window.
+    """
+    at = F.struct(*order)
+    first = rows.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.min(at).alias("_first"), F.min_by(record, at).alias("first_id"), F.count("*").alias("_n")).where("_n > 1")
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return rows.join(first, same).where(at > F.col("_first")).select(*rows.columns, "first_id")
 
 
 def conflicts(rows: DataFrame, keys: list[str], value: str) -> DataFrame:

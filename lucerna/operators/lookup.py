@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,14 +33,20 @@ def consensus_backfill(rows: DataFrame, target: str, by: list[str]) -> DataFrame
     return out.withColumn(target, F.coalesce(target, F.when(F.size(votes) == 1, F.get(votes, F.lit(0))))).drop(*[f"_{c}" for c in by])
 
 
-def nearest_within(points: DataFrame, targets: DataFrame, metres: float, cell: float) -> DataFrame:
+def nearest_within(points: DataFrame, targets: DataFrame, metres: float, cell: float | None = None) -> DataFrame:
     """The nearest target (tid, tlat, tlng) of each point (pid, lat, lng) within the distance; ties go to the smallest tid.
 
-    Targets are copied to the nine cells about theirs and joined by cell, which must be at least as wide as the distance.
+    Targets are copied to the nine cells about theirs and joined by cell.  Cells are at least as wide as the distance wherever targets
+    are: their width in degrees of longitude follows the target farthest from the equator (one row from the cluster); cell (degrees) may
+    only widen them.  A task holds the points of a cell and the targets about it.
     """
+    least = metres / 110_000.0  # a degree of latitude is longer
+    far = targets.agg(F.max(F.abs("tlat"))).first()[0] or 0.0
+    high = max(least, cell or 0.0)
+    wide = max(360.0 if far + least >= 89.9 else least / math.cos(math.radians(far + least)), cell or 0.0)
     near = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
-    spread = targets.withColumn("cx", F.floor(F.col("tlat") / cell)).withColumn("cy", F.floor(F.col("tlng") / cell))
+    spread = targets.withColumn("cx", F.floor(F.col("tlat") / high)).withColumn("cy", F.floor(F.col("tlng") / wide))
     spread = spread.withColumn("_x", near).withColumn("cx", F.col("cx") + F.col("_x")).withColumn("_y", near).withColumn("cy", F.col("cy") + F.col("_y"))
-    met = points.withColumn("cx", F.floor(F.col("lat") / cell)).withColumn("cy", F.floor(F.col("lng") / cell)).join(spread, ["cx", "cy"])
+    met = points.withColumn("cx", F.floor(F.col("lat") / high)).withColumn("cy", F.floor(F.col("lng") / wide)).join(spread, ["cx", "cy"])
     met = met.withColumn("metres", haversine_m(F.col("lat"), F.col("lng"), F.col("tlat"), F.col("tlng"))).where(F.col("metres") <= metres)
     return met.groupBy("pid").agg(F.min(F.struct("metres", "tid")).alias("m")).select("pid", "m.tid", "m.metres")

@@ -75,7 +75,12 @@ def ranked_merge(spark, d):
     return dedupe.ranked_merge(rows, ["o_custkey"], F.expr(RANK), "o_orderkey", ["p", "o_orderstatus"], ["o_totalprice"])
 
 
-@query()
+FOLD = f"""with recursive t as (select o_custkey, o_orderkey, {RANK} as score, nullif(o_orderpriority, '5-LOW') as p, row_number() over (partition by o_custkey order by o_orderkey) as n from orders),
+f as (select * from t where n = 1 union all select t.o_custkey, case when t.score > f.score then t.o_orderkey else f.o_orderkey end, greatest(t.score, f.score), case when t.score > f.score then coalesce(t.p, f.p) else coalesce(f.p, t.p) end, t.n from f join t on t.o_custkey = f.o_custkey and t.n = f.n + 1)
+select o_custkey, o_orderkey, score, p from f qualify row_number() over (partition by o_custkey order by n desc) = 1"""
+
+
+@query(FOLD)
 def fold_merge(spark, d):
     rows = table(spark, d, "orders").select("o_custkey", "o_orderkey", F.expr(RANK).alias("score"), F.expr("nullif(o_orderpriority, '5-LOW')").alias("p"))
     return dedupe.fold_merge(rows, ["o_custkey"], "o_orderkey", "score", "p")
@@ -345,4 +350,4 @@ def flagship(spark, d):
 QUERIES["flagship"] = flagship
 SQL["flagship"] = f"select p_brand, count(*) as total, count_if(p_size > 25) as sized, count_if(p_size > 25) / count(*) as sized_ratio from (select *, {SLUG.format('p_name')} as slug from part qualify row_number() over (partition by slug, p_brand order by p_partkey) = 1) group by 1"
 
-from . import campus  # noqa: E402, F401  registers its queries
+from . import campus, cases, datasets, rooms  # noqa: E402, F401  register their queries

@@ -135,6 +135,19 @@ def accordions(rows: DataFrame, key: str, html: str) -> DataFrame:
     return _parsed(rows, key, html, "item int; depth int; title string; body array<string>", each)
 
 
+def accordion_blocks(rows: DataFrame, key: str, html: str) -> DataFrame:
+    """(key, item, title, ord, tag, text, strong): the elements directly in an accordion entry's body, with what they say in bold."""
+
+    def each(page):
+        for i, item in enumerate(_Tree(page).root.find(lambda x: "accordion-item" in x.classes())):
+            button = next(item.find(lambda x: x.tag == "button" and "accordion-button" in x.classes()), None)
+            body = next(item.find(lambda x: "accordion-body" in x.classes()), None)
+            for j, block in enumerate(k for k in (body.kids if body else []) if not isinstance(k, str)):
+                yield i, button.text() if button else None, j, block.tag, block.text(), [x.text() for x in block.find(lambda x: x.tag == "strong")]
+
+    return _parsed(rows, key, html, "item int; title string; ord int; tag string; text string; strong array<string>", each)
+
+
 def _tidy(text: str | None) -> str | None:
     return " ".join((text or "").split()) or None
 

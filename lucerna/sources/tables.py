@@ -26,6 +26,12 @@ def json_array(spark: SparkSession, path: str, schema: str, strict: bool = False
     return rows.select("r.*")
 
 
+def json_texts(rows: DataFrame, key: str, text: str, schema: str) -> DataFrame:
+    """Objects of the JSON arrays that a column holds; a text that is no array has no rows, other elements are left out."""
+    items = rows.select(key, F.explode(F.from_json(text, "array<string>")).alias("v"))
+    return items.where(F.startswith(F.ltrim("v"), F.lit("{"))).select(key, F.from_json("v", schema).alias("r")).select(key, "r.*")
+
+
 def replayed(requests: DataFrame, responses: DataFrame, strict: bool = False) -> DataFrame:
     """Bodies for (method, url); misses are left out, or raise when the plan runs."""
     out = requests.join(responses.select("method", "url", "body"), ["method", "url"], "left")
