@@ -395,7 +395,7 @@ TABLES = {
 CHECKS = "with " + ", ".join(f"_{k} as ({plain(v, 'part', 'supplier', 'customer', 'events')})" for k, v in TABLES.items()) + """,
 ids as (select 'BUILDING' as k, building_id as i from _buildings union select 'PLACE', place_id from _places union select 'PERSON', person_id from _people union select 'DEPARTMENT', department_id from _departments),
 room as (select a.*, p.place_id as pp, p.type as pt, p.building_id as pb, coalesce(nullif(a.normalized_name, ''), a.name, '') as said from _aulas a left join _places p on p.place_id = a.place_id),
-named as (select *, lower(said) as k, arg_min(aula_id, ordinal) over (partition by lower(said), building_id) as f, min(ordinal) over (partition by lower(said), building_id) as at from room),
+named as (select *, lower(said) as k, arg_min(aula_id, ordinal) over (partition by lower(said), building_id) as f, min(ordinal) over (partition by lower(said), building_id) as first_at from room),
 tok as (select building_id, aula_id, array_to_string(list_sort(list_distinct(list_filter(regexp_split_to_array(lower(said), '[^a-z0-9]+'), lambda x: x not in ('', 'aula', 'lab', 'laboratorio')))), ' ') as w from room)
 select 'error' as level, 'departments.json' as file, 'primary_building_id ''' || primary_building_id || ''' does not exist in buildings.json' as message, department_id as record_id from _departments where nullif(primary_building_id, '') is not null and primary_building_id not in (select building_id from _buildings)
 union all select 'error', 'places.json', 'building_id ''' || building_id || ''' does not exist in buildings.json', place_id from _places where building_id not in (select building_id from _buildings)
@@ -407,7 +407,7 @@ union all select 'warning', 'aulas.json', 'place_id ''' || place_id || ''' point
 union all select 'error', 'aulas.json', 'building_id ''' || building_id || ''' does not exist in buildings.json', aula_id from room where pp is not null and building_id not in (select building_id from _buildings)
 union all select 'warning', 'aulas.json', 'building_id ''' || building_id || ''' differs from places.json building_id ''' || pb || ''' for place_id ''' || place_id || '''', aula_id from room where pb <> building_id
 union all select 'error', 'aulas.json', 'department_id ''' || department_id || ''' does not exist in departments.json', aula_id from room where pp is not null and department_id not in (select department_id from _departments)
-union all select 'error', 'aulas.json', 'duplicate aula key for normalized_name ''' || k || ''' and building_id ''' || building_id || ''' (also in ''' || f || ''')', aula_id from named where ordinal > at
+union all select 'error', 'aulas.json', 'duplicate aula key for normalized_name ''' || k || ''' and building_id ''' || building_id || ''' (also in ''' || f || ''')', aula_id from named where ordinal > first_at
 union all select 'error', 'aulas.json', 'conflicting floor for room ''' || lower(room) || ''' in building_id ''' || building_id || ''': ' || string_agg(distinct floor, ', ' order by floor), min(aula_id) from room where floor is not null group by lower(room), building_id having count(distinct floor) > 1
 union all select 'warning', 'aulas.json', 'suspicious near-duplicate aulas for building_id ''' || building_id || ''' and token_set ''' || w || ''': ' || string_agg(aula_id, ', ' order by aula_id), min(aula_id) from tok where contains(w, ' ') group by building_id, w having count(*) > 1
 union all select 'error', 'aliases.json', 'entity_id ''' || entity_id || ''' does not exist for entity_type ''' || entity_type || '''', alias_id from _aliases where entity_type <> 'OTHER' and not exists (select 1 from ids where k = entity_type and i = entity_id)

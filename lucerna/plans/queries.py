@@ -286,11 +286,11 @@ def json_props(spark, d):
     return table(spark, d, "events").select("event_id", F.expr("try_cast(get_json_object(props, '$.k') as bigint)").alias("k"))
 
 
-@query("""select 'union' as op, count(*) as n from (select c_custkey from customer union select o_custkey from orders where o_orderkey % 2 = 0) union all
-select 'minus', count(*) from (select c_custkey from customer except select o_custkey from orders where o_orderkey % 2 = 0) union all select 'both', count(*) from (select c_custkey from customer intersect select o_custkey from orders where o_orderkey % 2 = 0) union all
-select 'bag', count(*) from (select c_custkey from customer union all select o_custkey from orders where o_orderkey % 2 = 0)""")
+@query("""select 'union' as op, count(*) as n from (select c_custkey from customer union select user_id from events) union all
+select 'minus', count(*) from (select c_custkey from customer except select user_id from events) union all select 'both', count(*) from (select c_custkey from customer intersect select user_id from events) union all
+select 'bag', count(*) from (select c_custkey from customer union all select user_id from events)""")
 def set_ops(spark, d):
-    a, b = table(spark, d, "customer").select("c_custkey"), table(spark, d, "orders").where("o_orderkey % 2 = 0").select(F.col("o_custkey").alias("c_custkey"))
+    a, b = table(spark, d, "customer").select("c_custkey"), table(spark, d, "events").select(F.col("user_id").alias("c_custkey"))
     ops = {"union": a.union(b).distinct(), "minus": a.subtract(b), "both": a.intersect(b), "bag": a.union(b)}
     return reduce(DataFrame.unionByName, [x.agg(F.count("*").alias("n")).select(F.lit(k).alias("op"), "n") for k, x in ops.items()])
 
@@ -328,11 +328,11 @@ def schema_errors(spark, d):
     return rules.schema_errors(table(spark, d, "part"), "p_partkey", ["p_name"], {"p_type": ["SMALL", "ECONOMY"]}, {"p_size": 10}, {"p_brand": "^Brand#[1-4]"})
 
 
-@query("""with recursive p as (select page_id as url, case when page_id % 10 <> 9 then page_id + 1 else page_id - 9 end as next from pages), r(url, step) as (select url, 0 from p where url % 20 = 3 union all select p.next, step + 1 from r join p using (url) where step < 9 and p.next in (select url from p))
+@query("""with recursive p as (select page_id as url, case when page_id % 10 <> 9 then page_id + 1 else page_id - 9 end as next from pages), r(url, step) as (select url, 0 from p where url % 10 = 3 union all select p.next, step + 1 from r join p using (url) where step < 9 and p.next in (select url from p))
 select url, min(step) as step from r group by url""")
 def paginate(spark, d):
     pages = table(spark, d, "pages").select(F.col("page_id").alias("url"), F.expr("case when page_id % 10 <> 9 then page_id + 1 else page_id - 9 end").alias("next"))
-    return rules.pages_in_order(pages.where("url % 20 = 3").select("url"), pages, 9)
+    return rules.pages_in_order(pages.where("url % 10 = 3").select("url"), pages, 9)
 
 
 @query(f"select p_partkey, array_to_string(list_sort(list_distinct([s, replace(s, '-', ''), regexp_replace(s, '^aula-', ''), lower(p_brand), {SLUG.format('p_type')}])), ' ') as tokens from (select *, {SLUG.format("'Aula ' || p_name")} as s from part)")
