@@ -15,12 +15,22 @@ from pyspark.sql import functions as F
 #: Bytes of text that a Python worker turns into arrays at once.
 SLICE_BYTES = 1 << 20
 
+#: Bytes of one Arrow batch on its way to a Python worker; rows that carry whole texts or shingle sets make Spark's own bound of 10,000 rows too many.
+ARROW_BYTES = 4 << 20
+
 #: Maps A-Z to a-z and every other ASCII character that isn't a letter or digit to a blank.
 ALNUM = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+def bounded(spark: SparkSession) -> None:
+    """Has the session cut Arrow batches by bytes, whatever their rows hold."""
+    now = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    if not now.isdigit() or int(now) > ARROW_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
 class Scratch:
     """Tables written to the shared folder that spark.checkpoint.dir names, so that a lost executor costs no more than the tasks it ran.
 
@@ -31,6 +41,7 @@ class Scratch:
         base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
         if not base:
             base = "file://" + os.path.join(tempfile.gettempdir(), f"lucerna-{os.getpid()}")
+        bounded(spark)
         self.spark, self.root, self.paths, self.made = spark, f"{base.rstrip('/')}/{uuid.uuid4().hex}", {}, 0
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
@@ -73,6 +84,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id as long and text as string, whatever else the table holds; a null text is empty."""
+    bounded(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
 
 
@@ -81,8 +93,8 @@ def remainder(column: str = "doc_id", n: int = 4):
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
-def slices(batches, column: str = "text", limit: int = SLICE_BYTES):
-    """Record batches cut so that each holds about limit bytes of the column (one row at least)."""
+def slices(batches, column: str = "text", limit: int = SLICE_BYTES, rows: int = 1 << 15):
+    """Record batches cut so that each holds about limit bytes of the column (one row at least) and at most so many rows."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -91,7 +103,7 @@ def slices(batches, column: str = "text", limit: int = SLICE_BYTES):
         start = 0
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, base + limit, "right")))
+            stop = min(start + rows, max(start + 1, int(np.searchsorted(ends, base + limit, "right"))))
             yield batch.slice(start, stop - start)
             start = stop
 
@@ -146,19 +158,23 @@ def as_long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+KEPT_POWERS = 1 << 18
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base^i and base^-i modulo 2^64 for i < n (base odd)."""
-    if base not in _POWERS or len(_POWERS[base][0]) < n:
-        size = max(n, 1 << 16)
-        both = []
+    """base^i and base^-i modulo 2^64 for i < n (base odd).  Short ones are kept, as a worker lives for many tasks."""
+
+    def made(size: int):
         for b in (base, pow(base, -1, 1 << 64)):
             x = np.full(size, b, np.uint64)
             x[0] = 1
-            both.append(np.cumprod(x, dtype=np.uint64))
-        _POWERS[base] = tuple(both)
+            yield np.cumprod(x, dtype=np.uint64)
+
+    if n > KEPT_POWERS:
+        return tuple(made(n))
+    if base not in _POWERS:
+        _POWERS[base] = tuple(made(KEPT_POWERS))
     p, q = _POWERS[base]
     return p[:n], q[:n]
 

@@ -5,7 +5,7 @@ a lexicon of words that training texts use often; transitions between neighbouri
 labelled texts and some change language on the way, so that the chain learns how code-switched text changes.  Forward-backward gives each
 word's label probabilities; a text's language is the one with the largest mean, and its score that mean.
 
-Training reads at most 2 * PER_LANGUAGE texts for each language, chosen by the hash of doc_id.  Forward-backward runs over blocks of
+Training reads the whole of at most 2 * PER_LANGUAGE texts for each language, chosen by the hash of doc_id.  Forward-backward runs over blocks of
 words: transfer matrices of all blocks at once, then along each text's blocks, then inside all blocks.
 
 Nulls and edges: a text that is null or has no letter is `und` with score 0; with nothing to learn from every text is; rows whose lang is
@@ -22,10 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, ids, raw, remainder, slices, split_all, texts
+from .common import bounded, documents, ids, raw, remainder, slices, split_all
 from .subword import gram_lists, gram_sums, indexed, labelled_sample, spread
 
-PER_LANGUAGE, WORDS_EACH, LEXICON = 250, 400, 20_000
+PER_LANGUAGE, LEXICON = 150, 20_000
 GRAMS, BITS = (1, 2, 3, 4), 16
 BLOCK, CHUNK, LENGTH = 32, 12, 60
 LETTER = re.compile(r"[^\W\d_]")
@@ -69,16 +69,25 @@ def forward_backward(e: np.ndarray, moves: np.ndarray):
     return gamma, pair.sum((0, 1))
 
 
-def train(sample: list[tuple[str, str]], epochs: int = 3, rate: float = 0.3, seed: int = 7) -> Field | None:
-    """A field fitted by stochastic gradient steps (Adagrad) on sequences of LENGTH words."""
+def dealt(by_language: list[np.ndarray], rng: np.random.Generator) -> np.ndarray:
+    """All words in sequences of LENGTH: each language's in chunks, a few chunks in a row, then perhaps another language's."""
+    runs = []
+    for own in by_language:
+        chunks = np.resize(own, (-(-len(own) // CHUNK), CHUNK))
+        chunks = chunks[rng.permutation(len(chunks))]
+        runs += np.split(chunks, np.flatnonzero(rng.random(len(chunks) - 1) < 0.2) + 1)
+    chunks = np.concatenate([runs[i] for i in rng.permutation(len(runs))])
+    each = LENGTH // CHUNK
+    return np.resize(chunks, (-(-len(chunks) // each) * each, CHUNK)).reshape(-1, LENGTH)
+
+
+def train(sample: list[tuple[str, str]], epochs: int = 2, rate: float = 0.3, seed: int = 7) -> Field | None:
+    """A field fitted by stochastic gradient steps (Adagrad) on sequences of LENGTH words, all words of the sample in each epoch."""
     rng = np.random.default_rng(seed)
     languages = sorted({lang for _, lang in sample})
     words, label = [], []
     for text, lang in sample:
         own = lowered(text.encode()).split()
-        if len(own) > WORDS_EACH:  # a bounded stretch of a long training text, from anywhere in it
-            at = int(rng.integers(0, len(own) - WORDS_EACH + 1))
-            own = own[at : at + WORDS_EACH]
         words += own
         label += [languages.index(lang)] * len(own)
     if not words:
@@ -93,17 +102,11 @@ def train(sample: list[tuple[str, str]], epochs: int = 3, rate: float = 0.3, see
     entry = np.zeros(len(distinct), np.int64)
     entry[often] = np.arange(1, len(often) + 1)
     bucket, offsets = gram_lists(distinct, GRAMS, BITS)
-    by_language = [np.flatnonzero(label == j) for j in range(k)]
-    by_language = [np.resize(x, max(CHUNK, len(x))) for x in by_language]
-    n_seq = max(64, min(6000, 2 * len(words) // LENGTH))
+    by_language = [x for x in (np.flatnonzero(label == j) for j in range(k)) if len(x)]
     g_sum, e_sum, m_sum = np.full_like(field.grams, 1e-3), np.full_like(field.entries, 1e-3), np.full_like(field.moves, 1e-3)
     for _ in range(epochs):
-        lang = rng.integers(0, k, (n_seq, LENGTH // CHUNK))
-        for c in range(1, lang.shape[1]):
-            stay = rng.random(n_seq) < 0.8
-            lang[stay, c] = lang[stay, c - 1]
-        at = np.stack([np.concatenate([by_language[j][(s := int(rng.integers(0, len(by_language[j]) - CHUNK + 1))) : s + CHUNK] for j in row]) for row in lang])
-        for b in range(0, n_seq, 100):
+        at = dealt(by_language, rng)
+        for b in range(0, len(at), 100):
             seq, gold = token[at[b : b + 100]], label[at[b : b + 100]]
             used, inner = np.unique(seq, return_inverse=True)
             places, n = spread(offsets, used)
@@ -177,7 +180,7 @@ def label_means(e: np.ndarray, starts: np.ndarray, moves: np.ndarray) -> np.ndar
 
 
 def identify(docs: DataFrame, train_on: DataFrame | None = None, per_language: int = PER_LANGUAGE, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, lang_pred, score and row (the columns to carry) for every row.  train_on: rows with doc_id, text and lang to learn from (docs if none are given)."""
+    """doc_id, lang_pred, score, and row (the columns to carry but text) and text as it was, for every row.  train_on: rows with doc_id, text and lang to learn from (docs if none are given)."""
     teach = docs if train_on is None else train_on
     labels = teach.where("text is not null and lang is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
     sample = labelled_sample(teach, labels, "lang", per_language)
@@ -196,10 +199,12 @@ def identify(docs: DataFrame, train_on: DataFrame | None = None, per_language: i
                 for i, j in enumerate(mean.argmax(1)):
                     if letters[i]:
                         lang[i], score[i] = f.languages[j], float(min(1.0, mean[i, j]))
-            yield pa.RecordBatch.from_arrays([ids(b), pa.array(lang), pa.array(score), ids(b, "row")], names=["doc_id", "lang_pred", "score", "row"])
+            yield pa.RecordBatch.from_arrays([ids(b), pa.array(lang), pa.array(score), *(ids(b, c) for c in more)], names=["doc_id", "lang_pred", "score", *more])
 
-    rows = texts(docs, F.struct(*[c for c in docs.columns if c in carry]).alias("row") if carry else F.lit(None).cast("struct<x:int>").alias("row"))
-    kind = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("row", rows.schema["row"].dataType)])
+    more = ["row", "text"] if carry else []
+    bounded(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *([F.struct(*[c for c in docs.columns if c in carry and c != "text"]).alias("row")] if carry else []))
+    kind = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), *(rows.schema[c] for c in more)])
     return rows.mapInArrow(run, kind)
 
 

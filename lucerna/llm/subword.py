@@ -76,21 +76,22 @@ def spread(offsets: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_label: int) -> list[tuple]:
-    """(text, label) of about per_label rows of each label, twice as many at most, the same ones each time: those with the least hashes.
+    """(text, label) of about per_label documents of each label, twice as many at most, the same ones each time: those with the least hashes.
 
-    labels has doc_id and the label, docs has doc_id and text.  Labels are counted over all rows; a row stays if its hash is below its label's
-    share.  Only the ids chosen, whose number is bounded, meet the texts.
+    labels has doc_id and the label, docs has doc_id and text.  Labels are counted over all rows; a document stays if its hash is below its
+    label's share.  Only the ids chosen, whose number is bounded, meet the texts.  Of rows that share an id the least text is taken, whole.
     """
+    labels = labels.select("doc_id", label).distinct()
     counts = {r[0]: r[1] for r in labels.groupBy(label).count().collect()}
     if not counts:
         return []
     most = 2 * per_label * len(counts)
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, per_label / n)))])
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    picked = labels.where(draw < F.element_at(share, F.col(label))).select("doc_id", label).limit(most).collect()
+    picked = labels.where(draw < F.element_at(share, F.col(label))).orderBy(draw, "doc_id", label).limit(most).collect()
     if not picked:
         return []
     kind = labels.schema[label].dataType.simpleString()
-    chosen = docs.sparkSession.createDataFrame(picked, f"doc_id long, {label} {kind}")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").where("text is not null").select("text", label, "doc_id").limit(most)
-    return [(r[0], r[1]) for r in sorted(rows.collect(), key=lambda r: (r[2], r[0], r[1]))]
+    chosen = docs.sparkSession.createDataFrame([tuple(r) for r in picked], f"doc_id long, {label} {kind}")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").where("text is not null").groupBy("doc_id", label).agg(F.min("text").alias("text"))
+    return [(r["text"], r[label]) for r in sorted(rows.collect(), key=lambda r: (r["doc_id"], r[label]))]
