@@ -30,7 +30,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = identify(docs, docs.where(remainder("doc_id", 4) != 2), carry=COLUMNS).where("lang_pred <> 'und'")
-    return found.select("row.*", "lang_pred").withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
+    return found.select("row.*", "text", "lang_pred").withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
