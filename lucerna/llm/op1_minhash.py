@@ -110,9 +110,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     scratch = Scratch(docs.sparkSession)
     known = docs.where("doc_id is not null")
     sketches = scratch.table(texts(docs).mapInArrow(_sketches, SKETCH), "sketches")
-    classes = sketches.where("doc_id is not null and n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("class_id"))
-    member = scratch.table(sketches.join(classes, "set_key", "left").select("doc_id", "n_shingles", "class_id", F.when(F.col("doc_id") == F.col("class_id"), F.col("bands")).alias("bands")), "members")
-    scratch.drop(sketches)
+    # keys of several documents only, as a table of its own: a join of two tables can split the rows of a key that many have
+    classes = scratch.table(sketches.where("doc_id is not null and n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n")).where("n > 1").drop("n"), "classes")
+    alone = F.when(F.col("n_shingles") > 0, F.col("doc_id"))
+    member = sketches.join(classes, "set_key", "left").withColumn("class_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", alone)))
+    member = scratch.table(member.select("doc_id", "n_shingles", "class_id", F.when(F.col("doc_id") == F.col("class_id"), F.col("bands")).alias("bands")), "members")
+    scratch.drop(sketches, classes)
     rows = member.where("bands is not null").select(F.explode(F.array_distinct("bands")).alias("bucket"), "doc_id").distinct()
     full = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     shared = scratch.table(rows.join(full, "bucket"), "shared")

@@ -144,15 +144,16 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     member = scratch.table(parsed.join(first, "sha", "left").select("doc_id", "n_words", "sha", own.alias("own"), F.when(own, F.col("keys")).alias("keys")), "members")
     scratch.drop(parsed)
     rows = member.where("own").select(F.explode("keys").alias("key"), "doc_id")
-    shared = rows.groupBy("key").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("key")
+    # what several documents have is a table of its own: a join of two tables can split the rows of a key that many have
+    shared = scratch.table(rows.groupBy("key").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("key"), "shared")
     wanted = scratch.table(rows.join(shared, "key").groupBy("doc_id").agg(F.collect_set("key").alias("shared")), "wanted")
     candidates = scratch.table(having(texts(docs.where("doc_id is not null")), wanted, scratch).join(wanted, "doc_id"), "candidates")
-    scratch.drop(wanted)
+    scratch.drop(wanted, shared)
     windows = candidates.mapInArrow(_candidates, "w1 long, w2 int, doc_id long, place int")
-    earliest = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("w1", "w2", "x")
+    earliest = scratch.table(windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("w1", "w2", "x"), "earliest")
     places = windows.join(earliest, ["w1", "w2"]).where("doc_id > x").groupBy("doc_id").agg(F.collect_list("place").alias("places"))
     kept = scratch.table(candidates.select("doc_id", "text").join(places, "doc_id").mapInArrow(_kept, "doc_id long, n_removed long, kept_sha256 string, kept_text string").distinct(), "kept")
-    scratch.drop(candidates)
+    scratch.drop(candidates, earliest)
     copy = ~F.coalesce("own", F.lit(True))
     return member.join(kept, "doc_id", "left").select(
         "doc_id", "n_words",
