@@ -156,19 +156,32 @@ def suffix_order(text: np.ndarray, depth: int, memory: int = 64 << 20) -> np.nda
     return _induce(t, small, seeds, size, memory)[1:]
 
 
-def repeated(segments: list[bytes], width: int, memory: int = 64 << 20) -> list[np.ndarray]:
-    """For each segment the starts of its windows of `width` bytes that also start elsewhere in the segments."""
+def repeated(segments: list[bytes], widths: tuple[int, ...], memory: int = 64 << 20, starts_of: list[int] | None = None) -> list[tuple[np.ndarray, ...]]:
+    """For each segment and each width (the first is the largest) the starts of its windows of so many bytes that also start elsewhere in the segments.
+
+    starts_of: how many places of each segment count as starts, where what follows them is only there to be read on.
+    """
     sizes = np.array([len(s) for s in segments], np.int64)
     text = np.frombuffer(b"\0".join(segments) + b"\0", np.uint8).astype(np.uint16) + np.uint16(2)
     starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
     text[starts + sizes] = 1
-    order = suffix_order(text, width, memory)
-    room = np.repeat(starts + sizes, sizes + 1) - np.arange(len(text))  # bytes left in the segment
-    order = order[room[order] >= width]
-    out = np.zeros(len(text), bool)
-    if len(order) > 1:
-        a, b = (window_hashes(text.astype(np.uint64), width, base)[order] for base in (BASE, 0xE7037ED1A0B428DB))
-        same = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
-        out[order[1:][same]] = True
-        out[order[:-1][same]] = True
-    return [np.flatnonzero(out[s : s + k]) for s, k in zip(starts, sizes)]
+    order = suffix_order(text, widths[0], memory)
+    room = (np.repeat(starts + sizes, sizes + 1) - np.arange(len(text))).astype(np.int32)  # bytes left in the segment
+    if starts_of is not None:
+        place = np.arange(len(text)) - np.repeat(starts, sizes + 1)
+        room[place >= np.repeat(np.array(starts_of, np.int64), sizes + 1)] = 0
+    wide = text.astype(np.uint64)
+    del text
+    found = []
+    for width in widths:
+        own = order[room[order] >= width]
+        out = np.zeros(len(room), bool)
+        if len(own) > 1:
+            same = np.ones(len(own) - 1, bool)
+            for base in (BASE, 0xE7037ED1A0B428DB):
+                h = window_hashes(wide, width, base)[own]
+                same &= h[1:] == h[:-1]
+            out[own[1:][same]] = True
+            out[own[:-1][same]] = True
+        found.append(out)
+    return [tuple(np.flatnonzero(out[s : s + k]) for out in found) for s, k in zip(starts, sizes)]

@@ -45,13 +45,23 @@ def test_suffix_order():
             assert suffix_order(t, 1000, memory).tolist() == sorted(range(len(t)), key=lambda i: t[i:].tolist())
     segs = [b"abcabcabc", b"bca", b"", b"zz"]
     count = Counter(s[i : i + 3] for s in segs for i in range(len(s) - 2))
-    assert [x.tolist() for x in repeated(segs, 3)] == [[i for i in range(len(s) - 2) if count[s[i : i + 3]] > 1] for s in segs]
+    two = Counter(s[i : i + 2] for s in segs for i in range(len(s) - 1))
+    want = [([i for i in range(len(s) - 2) if count[s[i : i + 3]] > 1], [i for i in range(len(s) - 1) if two[s[i : i + 2]] > 1]) for s in segs]
+    assert [tuple(p.tolist() for p in x) for x in repeated(segs, (3, 2))] == want
 
 
 def test_byte_dedup(spark, rows):
     got, texts = run(spark, "op8_"), [(i, t.encode()) for i, t in rows]
     count = Counter(hashlib.md5(x[p : p + 400]).digest() for _, x in texts for p in range(len(x) - 399))
+    near = Counter(hashlib.md5(x[p : p + 256]).digest() for _, x in texts for p in range(len(x) - 255))
     for i, x in texts:
+        size = longest = 0  # bytes up to the end of the run that the last shared string is in
+        last = -1
+        for p in range(len(x) - 255):
+            if near[hashlib.md5(x[p : p + 256]).digest()] > 1:
+                size = size + p - last if last >= 0 and p - last <= 256 else 256
+                last, longest = p, max(longest, size)
+        assert got[i].longest_shared == longest
         gone = np.zeros(len(x), bool)
         for p in range(len(x) - 399):
             if count[hashlib.md5(x[p : p + 400]).digest()] > 1:
