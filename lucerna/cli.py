@@ -1,4 +1,4 @@
-"""Commands over a folder of datasets: link, correct, validate, report, contract, and buildings from a recorded map.
+"""Commands over a folder of datasets: crawl recorded responses, link, correct, validate, report, contract, review, seed.
 
 A dataset is `name.json`, an array, or `name.jsonl`, a folder of JSON lines.  Commands that write take another folder (--out) and write
 JSON lines with sorted fields and without nulls; the folder that was read is left as it is.
@@ -16,10 +16,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import crawl as crawls
 from .functions.people import is_building
-from .operators import canonical, documents, places
+from .operators import canonical, documents, places, release
 from .operators.campus_integrity import check
-from .sources import markup
+from .sources import markup, registry
 from .sources.tables import write_json
 
 # Fields of the datasets.
@@ -157,6 +158,54 @@ def crawl_buildings(spark, a) -> int:
     return 0
 
 
+def _crawled(spark, a, only: str | None) -> int:
+    """Crawls over recorded responses (method, url, body): one stage, or all of them, links, aliases, and the integrity checks.
+
+    The profile is a JSON object of crawl.Profile's fields.  The folder --data is the baseline whose rows stay; --out is another one.
+    """
+    registry.guard(spark, a.out, a.canonical or f"{a.out}.none", a.allow_canonical == "yes", a.data)
+    data = Folder(spark, a.data)
+    given = registry.json_object(spark, a.profile, strict=True)
+    profile = crawls.Profile(**{"at": a.verified_at} | {k: tuple(v) if isinstance(v, list) else v for k, v in given.items()})
+    profile = crawls.fast(profile) if a.speed == "fast" else profile
+    responses = spark.read.schema("method string, url string, body string").json(a.responses)
+    written: list[str] = []
+
+    def cut(rows: DataFrame) -> DataFrame:
+        written.append(f"{a.out.rstrip('/')}/_stages/{len(written)}")
+        rows.write.parquet(written[-1])
+        return spark.read.schema(rows.schema).parquet(written[-1])
+
+    if only:
+        stage, t = dict(crawls.STAGES)[only], data.all()
+        _write(a.out, **{name: crawls.shaped(rows, t[name]) for name, rows in stage(spark, responses, profile, t, cut).items()})
+        return 0
+    contract = data.document(a.contract) if a.contract else None
+    t = crawls.run(spark, responses, profile, data.all(), contract, cut=cut)
+    new = spark.createDataFrame([(f"unical-{x}", x, profile.base, None, a.verified_at) for x in ("departments", "services", "teachers", "aulas")], "source_id string, name string, base_url string, notes string, last_crawled_at string")
+    t["sources"] = registry.upsert_sources(t["sources"].drop("ordinal"), new).withColumn("ordinal", F.col("source_id"))
+    _write(a.out, **t)
+    errors = check(t).where("level = 'error'").orderBy("file", "record_id", "message").limit(20).collect()
+    for r in errors:
+        print(f"{r.level} {r.file} {r.record_id or '-'}: {r.message}")
+    return int(bool(errors))
+
+
+def review(spark, a) -> int:
+    """The text of a release review; --locked lists entities as dataset:id."""
+    old, new = Folder(spark, a.data), Folder(spark, a.candidate)
+    pairs = {name: (old.read(name), new.read(name), crawls.KEYS[name]) for name in DATASETS if old.find(name) and new.find(name)}
+    print(release.text(pairs, [tuple(x.split(":", 1)) for x in (a.locked or "").split(",") if x]), end="")
+    return 0
+
+
+def seed(spark, a) -> int:
+    """Copies a folder's datasets and adds the empty ones that it lacks."""
+    print("copied", *registry.seed(spark, a.data, a.out, DATASETS))
+    print("made", *registry.placeholders(spark, a.out, DATASETS))
+    return 0
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="lucerna")
     groups = top.add_subparsers(required=True)
@@ -174,7 +223,13 @@ def parser() -> argparse.ArgumentParser:
     add(link, "aliases", link_aliases, "data", "out", landmarks=None)
     add(link, "service-locations", link_services, "data", "out", "contract", "verified-at")
     add(groups.add_parser("corrections").add_subparsers(required=True), "apply", apply_corrections, "data", "out", "registry", allowed=None)
-    add(groups.add_parser("crawl").add_subparsers(required=True), "buildings", crawl_buildings, "responses", "out", "verified-at", source="campus-map")
+    crawl = groups.add_parser("crawl").add_subparsers(required=True)
+    add(crawl, "buildings", crawl_buildings, "responses", "out", "verified-at", source="campus-map")
+    for name in ("departments", "services", "teachers", "aulas"):
+        add(crawl, name, lambda spark, a, name=name: _crawled(spark, a, name), "data", "responses", "profile", "out", "verified-at", speed="full", canonical=None, allow_canonical="no")
+    add(crawl, "full", lambda spark, a: _crawled(spark, a, None), "data", "responses", "profile", "out", "verified-at", speed="full", canonical=None, allow_canonical="no", contract=None)
+    add(groups, "review", review, "data", "candidate", locked=None)
+    add(groups, "seed", seed, "data", "out")
     add(groups, "validate", validate, "data", "schemas")
     add(groups, "report", report, "data", "schemas", diagnostics=None, most_issues=10000)
     add(groups, "contract", contract, "data", version="1", compatibility=1, id="datasets")

@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 
 from .functions import urls
 from .functions.people import is_building
+from .functions.services import service_link
+from .functions.text import casefold, collapse, name_key
 from .operators import canonical, merge, places, room_merge
 from .operators.campus_integrity import check
-from .operators.rules import pages_in_order
+from .operators.lookup import unique_only
+from .operators.rules import cut, pages_in_order
 from .sources import markup, raw, requests
 
 KEYS = {"buildings": "building_id", "departments": "department_id", "places": "place_id", "aulas": "aula_id", "people": "person_id", "aliases": "alias_id", "entity_links": "link_id", "sources": "source_id"}
@@ -61,7 +64,7 @@ def empty(spark: SparkSession, schemas: dict[str, str]) -> dict[str, DataFrame]:
     return {name: spark.createDataFrame([], schema).withColumn("ordinal", F.lit("")) for name, schema in schemas.items()}
 
 
-def departments(spark, responses: DataFrame, p: Profile, t: dict) -> dict:
+def departments(spark, responses: DataFrame, p: Profile, t: dict, cut=cut) -> dict:
     rows = raw.departments(_payloads(spark, responses, p.departments_api, p.pages), p.base) if p.departments_api else None
     return {} if rows is None else {"departments": canonical.departments(rows, "unical-departments", p.at)}
 
@@ -70,37 +73,36 @@ def _marks(responses: DataFrame, p: Profile) -> DataFrame:
     return markup.placemarks(_bodies(responses, p.maps), "url", "body")
 
 
-def buildings(spark, responses: DataFrame, p: Profile, t: dict) -> dict:
+def buildings(spark, responses: DataFrame, p: Profile, t: dict, cut=cut) -> dict:
     if not p.maps:
         return {}
     marks = _marks(responses, p).where(is_building(F.col("name")) & F.col("lat").isNotNull() & F.col("folder").isNotNull())
     return {"buildings": canonical.buildings(marks.select(F.col("name").alias("ordinal"), "name", F.col("url").alias("source_url"), "lat", "lng", "description"), "campus-map", p.at)}
 
 
-def services(spark, responses: DataFrame, p: Profile, t: dict) -> dict:
+def services(spark, responses: DataFrame, p: Profile, t: dict, cut=cut) -> dict:
     """Services of the pages that the lists lead to, breadth first."""
     if not p.services:
         return {}
     pages = responses.where("body is not null").select("url", "body")
     links = markup.nodes(pages, "url", "body", ("a",)).where("attrs['href'] is not null")
-    from .functions.services import service_link
-
     to = links.select("url", service_link(F.col("url"), F.col("attrs")["href"], F.col("text")).alias("target")).where("target is not null").distinct()
+    to = cut(to)
     reached = requests.crawl(spark.createDataFrame([(u,) for u in p.services], "url string"), to, p.pages, depth=2).where("step > 0")
-    found = raw.services_of(markup.nodes(pages.join(reached.select("url"), "url"), "url", "body", ("h1", "h2", "title", "p", "a")))
+    found = cut(raw.services_of(markup.nodes(pages.join(reached.select("url"), "url"), "url", "body", ("h1", "h2", "title", "p", "a"))))
     return {"places": canonical.keep_others(t["places"].drop("ordinal"), canonical.services(found, "unical-services", p.at), "unical-services", "place_id")}
 
 
-def teachers(spark, responses: DataFrame, p: Profile, t: dict) -> dict:
+def teachers(spark, responses: DataFrame, p: Profile, t: dict, cut=cut) -> dict:
     if not p.teachers_api:
         return {}
-    rows = raw.teachers(_payloads(spark, responses, p.teachers_api, p.pages), p.base)
+    rows = cut(raw.teachers(_payloads(spark, responses, p.teachers_api, p.pages), p.base))
     people = canonical.people(rows, t["departments"], None, "unical-teachers", p.at)
     offices = canonical.offices(rows, t["buildings"], p.meetings, "unical-teachers", p.at)
     return {"people": people, "places": canonical.keep_others(t["places"].drop("ordinal"), offices, "unical-teachers", "place_id")}
 
 
-def aulas(spark, responses: DataFrame, p: Profile, t: dict) -> dict:
+def aulas(spark, responses: DataFrame, p: Profile, t: dict, cut=cut) -> dict:
     sources = [raw.map_rooms(_marks(responses, p))] if p.maps else []
     lists = {*p.planner, *p.schedules, *p.maps, p.planner_blocks, p.departments_api, p.teachers_api}
     pages = responses.where(~F.col("url").isin(*lists) & F.col("body").isNotNull()).select("url", "body")
@@ -108,7 +110,7 @@ def aulas(spark, responses: DataFrame, p: Profile, t: dict) -> dict:
         sources.append(raw.table_rooms(markup.table_rows(pages, "url", "body")))
     if p.accordions:
         sources.append(raw.accordion_rooms(markup.accordion_blocks(pages, "url", "body")))
-        sources.append(raw.self_study_rooms(pages.select("url", raw.collapse(raw.F.regexp_replace("body", "<[^>]*>", " ")).alias("text"))))
+        sources.append(raw.self_study_rooms(pages.select("url", collapse(F.regexp_replace("body", "<[^>]*>", " ")).alias("text"))))
     blocks = _bodies(responses, [p.planner_blocks]).select(F.inline(F.from_json("body", "array<struct<id:string,descrizione:string>>")))
     if p.planner:
         sources.append(raw.planner_rooms(_bodies(responses, p.planner), blocks))
@@ -116,42 +118,42 @@ def aulas(spark, responses: DataFrame, p: Profile, t: dict) -> dict:
         sources.append(raw.schedule_rooms(_bodies(responses, p.schedules), blocks))
     if not sources:
         return {}
-    rooms, at = room_merge.rooms(raw.all_rooms(*sources), t["buildings"], "unical-aulas", p.at)
+    rooms, at = room_merge.rooms(raw.all_rooms(*map(cut, sources)), t["buildings"], "unical-aulas", p.at, cut)
     old = t["places"].drop("ordinal")
     mine = (F.col("type") == "AULA") & (F.col("source_id") == "unical-aulas")
     wide = at.select(*[F.col(c) if c in at.columns else F.lit(None).cast(old.schema[c].dataType).alias(c) for c in old.columns])
     return {"aulas": rooms, "places": merge.partition_replace(old, wide, mine, "place_id")}
 
 
-def link(spark, responses: DataFrame, p: Profile, t: dict) -> dict:
+def link(spark, responses: DataFrame, p: Profile, t: dict, cut=cut) -> dict:
     return {"places": places.link_places(t["places"].drop("ordinal"), t["buildings"]).select(*[c for c in t["places"].columns if c != "ordinal"])}
 
 
 STAGES = (("departments", departments), ("buildings", buildings), ("services", services), ("teachers", teachers), ("aulas", aulas), ("places-buildings", link))
 
 
-def _shaped(rows: DataFrame, like: DataFrame) -> DataFrame:
+def shaped(rows: DataFrame, like: DataFrame) -> DataFrame:
     """rows with the columns of a table, null where they have none."""
     return rows.select(*[(F.col(c) if c in rows.columns else F.lit(None)).cast(like.schema[c].dataType).alias(c) for c in like.columns if c != "ordinal"])
 
 
-def run(spark: SparkSession, responses: DataFrame, profile: Profile, baseline: dict[str, DataFrame], contract: dict | None = None, landmarks=(), cut=lambda df: df) -> dict[str, DataFrame]:
+def run(spark: SparkSession, responses: DataFrame, profile: Profile, baseline: dict[str, DataFrame], contract: dict | None = None, landmarks=(), cut=cut) -> dict[str, DataFrame]:
     """All datasets: each stage's tables over the baseline's rows, which stay where a stage says nothing of them.
 
-    cut: writes a table and reads it again, so that a stage's plan does not hold those before it (Scratch-like; identity in tests).
+    cut: writes a table and reads it again, so that a stage's plan does not hold those before it (a checkpoint if none is given).
     """
     t = dict(baseline)
     for _, stage in STAGES:
-        for name, rows in stage(spark, responses, profile, t).items():
+        for name, rows in stage(spark, responses, profile, t, cut).items():
             old = t[name].drop("ordinal")
-            whole = rows if name == "places" else merge.baseline_merge(old, _shaped(rows, old), KEYS[name])
-            t[name] = cut(_shaped(whole, old)).withColumn("ordinal", F.col(KEYS[name]))
+            whole = rows if name == "places" else merge.baseline_merge(old, shaped(rows, old), KEYS[name])
+            t[name] = cut(shaped(whole, old)).withColumn("ordinal", F.col(KEYS[name]))
     if contract is not None:
         at, of, links = places.apply_contract(t["places"].drop("ordinal"), t["buildings"].drop("ordinal"), contract, profile.at)
         for name, rows in (("places", at), ("buildings", of), ("entity_links", links)):
-            t[name] = cut(_shaped(rows, t[name])).withColumn("ordinal", F.col(KEYS[name]))
+            t[name] = cut(shaped(rows, t[name])).withColumn("ordinal", F.col(KEYS[name]))
     found = places.aliases(t["aulas"], t["places"], t["buildings"], list(landmarks))
-    t["aliases"] = cut(_shaped(found, t["aliases"])).withColumn("ordinal", F.col("alias_id"))
+    t["aliases"] = cut(shaped(found, t["aliases"])).withColumn("ordinal", F.col("alias_id"))
     return t
 
 
@@ -161,9 +163,6 @@ def issues(t: dict[str, DataFrame]) -> DataFrame:
 
 def teacher_departments(pages: DataFrame, codes: DataFrame) -> DataFrame:
     """(key, department_id) of the address book's pages (url, results) of structures (code, department_id), only keys of one department."""
-    from .functions.text import casefold, collapse, name_key
-    from .operators.lookup import unique_only
-
     code = F.regexp_extract(urls.query(F.col("url")), "structuretree=([0-9]+)", 1)
     rows = pages.withColumn("code", code).join(codes, "code").select("department_id", F.explode("results").alias("v")).select("department_id", F.from_json("v", raw.PERSON).alias("x"))
     local = F.transform(F.filter(raw.texts(F.col("x.Email")), lambda e: F.contains(e, F.lit("@"))), lambda e: F.concat(F.lit("email_local:"), F.lower(F.substring_index(e, "@", 1))))

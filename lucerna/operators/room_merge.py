@@ -159,10 +159,13 @@ def merge_rooms(rooms: DataFrame, places: DataFrame) -> tuple[DataFrame, DataFra
     return merged.select(*rooms.columns), out
 
 
-def rooms(raw: DataFrame, buildings: DataFrame, source: str, at: str) -> tuple[DataFrame, DataFrame]:
-    """(rooms, places) from raw rooms: projected, given buildings, moved and enriched by their sources, merged."""
-    found, places = rooms_and_places(raw, buildings, source, at)
-    found, places = backfill(found, places, buildings)
-    found, places = force_buildings(found, places, buildings)
-    found, places = enrich(found, places, buildings)
-    return merge_rooms(found, places)
+def rooms(raw: DataFrame, buildings: DataFrame, source: str, at: str, cut=lambda rows: rows) -> tuple[DataFrame, DataFrame]:
+    """(rooms, places) from raw rooms: projected, given buildings, moved and enriched by their sources, merged.
+
+    cut: writes rows and reads them again; each step reads the one before several times, so plans grow without it.
+    """
+    found, at_ = map(cut, rooms_and_places(cut(raw), buildings, source, at))
+    found, at_ = map(cut, backfill(found, at_, buildings))
+    found, at_ = force_buildings(found, at_, buildings)
+    found, at_ = map(cut, enrich(found, at_, buildings))
+    return merge_rooms(found, at_)
