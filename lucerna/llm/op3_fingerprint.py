@@ -89,16 +89,17 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     n = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = texts(docs)
     low, high, total = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id")).first()
-    part = F.lit(-1)
+    part = F.lit(None).cast("int")
     if total:
         width = -(-(high - low + 1) // BINS)
-        place = F.expr(f"cast((doc_id - {low}L) div {width}L as int)")
+        place = F.expr(f"cast((cast(doc_id as decimal(20,0)) - cast('{low}' as decimal(20,0))) div cast('{width}' as decimal(20,0)) as int)")
         counts = dict(rows.where("doc_id is not null").groupBy(place.alias("bin")).count().collect())  # BINS rows at most
         at, of = 0, []
         for b in range(BINS):
             of.append(at * n // total)
             at += counts.get(b, 0)
-        part = F.when(F.col("doc_id").isNull(), -1).otherwise(F.element_at(F.lit(of), place + 1))
+        part = F.when(F.col("doc_id").isNotNull(), F.element_at(F.lit(of), place + 1))
+    part = F.coalesce(part, -1 - F.pmod(F.xxhash64("text"), F.lit(n)).cast("int"))  # rows without id have no neighbours and may be anywhere
     rows = rows.select("doc_id", "text", part.alias("part"), F.lit(False).alias("added"))
     if total:
         tops = dict(rows.where("part >= 0").groupBy("part").agg(F.max("doc_id")).collect())  # a row for each range

@@ -105,3 +105,10 @@ def test_rows_keep_their_own_result_in_blocks(spark):
     items = benchmark(spark, list(enumerate(["a b", "b c", "e", "d e", "q"])))
     rows = lambda **k: sorted(map(str, op9_decontamination.decontaminate(d, items, **k).collect()))
     assert rows() == rows(block_items=2) and len(rows(block_items=2)) == 7
+
+
+def test_fingerprints_of_far_ids(spark):
+    ends = [-(1 << 63), -1, 0, (1 << 63) - 1]
+    d = table(spark, [(i, f"text of {i}") for i in ends] + [(None, "x"), (None, "y")])
+    got = {r.doc_id: r for r in op3_fingerprint.fingerprints(d).collect() if r.doc_id is not None}
+    assert sorted(got) == ends and got[ends[0]].n_chars == len(f"text of {ends[0]}")
