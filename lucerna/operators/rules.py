@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
 def schema_errors(rows: DataFrame, key: str, required: list[str] = (), enums: dict[str, list] | None = None, minimum: dict[str, float] | None = None, patterns: dict[str, str] | None = None) -> DataFrame:
     """(key, field, error) of every broken declaration, in one pass over the rows."""
     tests: list[tuple[str, str, Column]] = [(c, "required", F.col(c).isNull()) for c in required]
@@ -18,10 +20,13 @@ def schema_errors(rows: DataFrame, key: str, required: list[str] = (), enums: di
 
 
 def cut(rows: DataFrame) -> DataFrame:
-    """rows from the folder that spark.checkpoint.dir names; one of this machine is set only where it is unset, as in tests."""
+    """rows from the folder that spark.checkpoint.dir names; where it is unset, a folder of this machine, which only a local master may use."""
     sc = rows.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(rows.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+        base = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not base and not re.match(r"local($|\[)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(base or tempfile.mkdtemp())
     return rows.checkpoint()
 
 
@@ -38,4 +43,3 @@ def pages_in_order(first: DataFrame, pages: DataFrame, limit: int) -> DataFrame:
             break
         seen = seen.unionByName(front)
     return seen
-
