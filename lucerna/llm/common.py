@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 20
 
 #: Bytes of one Arrow batch on its way to a Python worker; rows that carry whole texts or shingle sets make Spark's own bound of 10,000 rows too many.
-ARROW_BYTES = 4 << 20
+ARROW_BYTES = 2 << 20
 
 #: Maps A-Z to a-z and every other ASCII character that isn't a letter or digit to a blank.
 ALNUM = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -40,6 +41,8 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
         if not base:
+            if not re.match(r"local($|\[)", spark.sparkContext.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             base = "file://" + os.path.join(tempfile.gettempdir(), f"lucerna-{os.getpid()}")
         bounded(spark)
         self.spark, self.root, self.paths, self.made = spark, f"{base.rstrip('/')}/{uuid.uuid4().hex}", {}, 0

@@ -36,7 +36,7 @@ from .subword import indexed
 
 SWEEPS, BURN_IN, STRENGTH, LARGEST = 4, 2, 1.0, 128
 #: Bytes of text in a slice, and for each bucket.
-SLICE, BUCKET = 8 << 20, 8 << 20
+SLICE, BUCKET = 6 << 20, 6 << 20
 END = b"\n"  # no word holds it
 UNTRAINED = np.uint16(1 << 15)
 BLOCKS = "bucket int, slice long, block binary"
