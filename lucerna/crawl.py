@@ -21,6 +21,7 @@ from .operators.lookup import unique_only
 from .operators.rules import cut, pages_in_order
 from .sources import markup, raw, requests
 
+# Ids of datasets and, in the stages, ids of sources and the type of rooms' places.
 KEYS = {"buildings": "building_id", "departments": "department_id", "places": "place_id", "aulas": "aula_id", "people": "person_id", "aliases": "alias_id", "entity_links": "link_id", "sources": "source_id"}
 
 

@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 from ..functions.text import casefold, collapse
 
 ISSUE = "level string, file string, message string, record_id string"
+# Levels, files and messages of the checks below, which readers of the report know.
 #: Words of rooms that tell nothing, and types that aliases and links may refer to.
 DULL = ("aula", "laboratorio", "lab", "")
 ALIASED = {"BUILDING": ("buildings", "building_id"), "PLACE": ("places", "place_id"), "PERSON": ("people", "person_id"), "DEPARTMENT": ("departments", "department_id")}
