@@ -15,6 +15,7 @@ MODULES = {
     "op8_suffix_array_dedup": "op8_suffix_array",
     "op9_benchmark_decontamination": "op9_decontamination",
     "op10_best_fit_packing": "op10_packing",
+    "op13_token_counts": "op13_token_counts",
 }
 
 
