@@ -15,6 +15,8 @@ MODULES = {
     "op8_suffix_array_dedup": "op8_suffix_array",
     "op9_benchmark_decontamination": "op9_decontamination",
     "op10_best_fit_packing": "op10_packing",
+    "op11_filter_audit": "op11_filter_audit",
+    "op12_spelling_variants": "op12_spelling",
     "op13_token_counts": "op13_token_counts",
 }
 
