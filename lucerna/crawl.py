@@ -24,10 +24,17 @@ from .sources import markup, raw, requests
 # Ids of datasets and, in the stages, ids of sources and the type of rooms' places.
 KEYS = {"buildings": "building_id", "departments": "department_id", "places": "place_id", "aulas": "aula_id", "people": "person_id", "aliases": "alias_id", "entity_links": "link_id", "sources": "source_id"}
 
+#: The first `main` of a page.
+MAIN = r"(?is)<main\b[^>]*>(.*?)</main\s*>"
+
 
 @dataclass(frozen=True)
 class Profile:
-    """What a crawl reads: addresses of the maps, interfaces and lists, which sources of rooms, and how many failures it may have."""
+    """What a crawl reads: addresses of the maps, interfaces and lists, and which sources of rooms.
+
+    pages: pages of one interface that may be read; more of them fail the crawl (None: all are read).  budget: responses without a body that
+    it may have; more fail it before any stage (None: any number).
+    """
 
     at: str
     maps: tuple[str, ...] = ()
@@ -40,24 +47,26 @@ class Profile:
     schedules: tuple[str, ...] = ()
     tables: bool = True
     accordions: bool = True
-    pages: int = 1000
-    budget: int = 0
+    pages: int | None = None
+    budget: int | None = None
     meetings: tuple[str, ...] = ()
 
 
 def fast(profile: Profile) -> Profile:
-    """Without schedules, and with fewer pages."""
-    return replace(profile, schedules=(), pages=min(profile.pages, 200))
+    """Without schedules."""
+    return replace(profile, schedules=())
 
 
 def _bodies(responses: DataFrame, wanted) -> DataFrame:
     return responses.where(F.col("url").isin(*wanted) & F.col("body").isNotNull()).select("url", "body")
 
 
-def _payloads(spark: SparkSession, responses: DataFrame, first: str, most: int) -> DataFrame:
-    """Pages of a paginated interface with their step; a page whose `next` was seen ends it."""
+def _payloads(spark: SparkSession, responses: DataFrame, first: str, most: int | None) -> DataFrame:
+    """Pages of a paginated interface with their step; a page whose `next` was seen ends it.  Raises OverflowError beyond `most` pages."""
     pages = raw.payload_pages(responses.where("body is not null"))
     reached = pages_in_order(spark.createDataFrame([(first,)], "url string"), pages, most)
+    if most is not None and not reached.where(F.col("step") >= most).isEmpty():
+        raise OverflowError(f"{first} has more than {most} pages")
     return pages.join(reached, "url")
 
 
@@ -82,14 +91,15 @@ def buildings(spark, responses: DataFrame, p: Profile, t: dict, cut=cut) -> dict
 
 
 def services(spark, responses: DataFrame, p: Profile, t: dict, cut=cut) -> dict:
-    """Services of the pages that the lists lead to, breadth first."""
+    """Services of the pages that one to three links lead to from the lists; links stand in a page's `main`, if it has one."""
     if not p.services:
         return {}
     pages = responses.where("body is not null").select("url", "body")
-    links = markup.nodes(pages, "url", "body", ("a",)).where("attrs['href'] is not null")
+    scoped = pages.select("url", F.coalesce(F.nullif(F.regexp_extract("body", MAIN, 1), F.lit("")), F.col("body")).alias("body"))
+    links = markup.nodes(scoped, "url", "body", ("a",)).where("attrs['href'] is not null")
     to = links.select("url", service_link(F.col("url"), F.col("attrs")["href"], F.col("text")).alias("target")).where("target is not null").distinct()
     to = cut(to)
-    reached = requests.crawl(spark.createDataFrame([(u,) for u in p.services], "url string"), to, p.pages, depth=2).where("step > 0")
+    reached = requests.levels(spark.createDataFrame([(u,) for u in p.services], "url string"), to, 3)
     found = cut(raw.services_of(markup.nodes(pages.join(reached.select("url"), "url"), "url", "body", ("h1", "h2", "title", "p", "a"))))
     return {"places": canonical.keep_others(t["places"].drop("ordinal"), canonical.services(found, "unical-services", p.at), "unical-services", "place_id")}
 
@@ -143,6 +153,8 @@ def run(spark: SparkSession, responses: DataFrame, profile: Profile, baseline: d
 
     cut: writes a table and reads it again, so that a stage's plan does not hold those before it (a checkpoint if none is given).
     """
+    if profile.budget is not None and (failed := responses.where("body is null").count()) > profile.budget:
+        raise RuntimeError(f"final failures: {failed}, budget {profile.budget}")
     t = dict(baseline)
     for _, stage in STAGES:
         for name, rows in stage(spark, responses, profile, t, cut).items():

@@ -7,16 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def _one(rows: DataFrame, keys: list[str], by, place: Column) -> DataFrame:
-    """A row of each key by its place.  An aggregate finds it, so a task sends one row a key and a hot key's rows needn't meet."""
-    names = [c for c in rows.columns if c not in keys]
-    out = rows.withColumn("_at", place).groupBy(*keys).agg(by(F.struct(*names), "_at").alias("_r"))
-    return out.select(*[F.col(c) if c in keys else F.col(f"_r.`{c}`").alias(c) for c in rows.columns])
+def _one(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
+    """The first row of each key in the order.  A task sends one row a key, as the limit of a group is applied before the exchange too."""
+    return rows.withColumn("_at", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_at = 1").drop("_at")
 
 
 def first_wins(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
     """The first row of each key in the (ascending) order; null keys are equal."""
-    return _one(rows, keys, F.min_by, F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"_{i}") for i, c in enumerate(order)]))
+    return _one(rows, keys, order)
 
 
 def placed(rows: DataFrame, keys: list[str], order: list, place: str) -> DataFrame:
@@ -26,13 +24,12 @@ def placed(rows: DataFrame, keys: list[str], order: list, place: str) -> DataFra
 
 def last_wins(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last row of each key in the order."""
-    return _one(rows, keys, F.max_by, F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)]))
+    return _one(rows, keys, [F.desc(c) for c in order])
 
 
 def best(rows: DataFrame, keys: list[str], priority: str, tie: str) -> DataFrame:
-    """Highest priority, then the smallest tie value: the first of each priority, then the highest one."""
-    first = _one(rows, [*keys, priority], F.min_by, F.struct(F.col(tie).alias("_0")))
-    return _one(first, keys, F.max_by, F.struct(F.col(priority).alias("_0"))).select(*rows.columns)
+    """Highest priority, then the smallest tie value."""
+    return _one(rows, keys, [F.desc(priority), F.col(tie)])
 
 
 def ranked_merge(rows: DataFrame, keys: list[str], rank: Column, order: str, fill: list[str], largest: list[str]) -> DataFrame:

@@ -30,13 +30,15 @@ def cut(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
-def pages_in_order(first: DataFrame, pages: DataFrame, limit: int) -> DataFrame:
-    """Follows `next` from the first urls over replayed pages (url, next), each url once, at most `limit` steps: (url, step).
+def pages_in_order(first: DataFrame, pages: DataFrame, limit: int | None = None) -> DataFrame:
+    """Follows `next` from the first urls over replayed pages (url, next), each url once, to the end or at most `limit` steps: (url, step).
 
     A frontier a step; what was visited is left out before the next one.
     """
     seen = front = cut(first.select("url", F.lit(0).alias("step")).join(pages.select("url"), "url", "left_semi"))
-    for i in range(1, limit + 1):
+    i = 0
+    while limit is None or i < limit:
+        i += 1
         front = front.join(pages, "url").where("next is not null").select(F.col("next").alias("url"), F.lit(i).alias("step")).distinct()
         front = cut(front.join(pages.select("url"), "url", "left_semi").join(seen.select("url"), "url", "left_anti"))
         if front.isEmpty():

@@ -71,6 +71,15 @@ def crawl(seeds: DataFrame, links: DataFrame, max_pages: int, depth: int = 100)
     return seen
 
 
+def levels(seeds: DataFrame, links: DataFrame, n: int) -> DataFrame:
+    """Distinct urls that 1 to n links lead to from the seeds (a seed too, if a page names it); all of them, however many they are."""
+    out = front = None
+    for _ in range(n):
+        front = (seeds if front is None else front).join(links.where("url <> target"), "url").select(F.col("target").alias("url")).distinct()
+        out = front if out is None else out.unionByName(front)
+    return out.distinct()
+
+
 def expand(seeds: DataFrame, links: DataFrame, levels: int) -> DataFrame:
     """Distinct urls from the seeds to a fixed number of levels of links."""
     out = front = seeds.select("url").distinct()

@@ -53,6 +53,47 @@ def test_crawl(spark, tmp_path):
         registry.seed(spark, at("old"), at("old/"), DATASETS)
 
 
+def page(*to):
+    return "<nav><a href='/campus/servizi/nav/'>Servizio nav</a></nav><main class='x'><h1>Servizio</h1>" + "".join(f"<a href='/campus/servizi/{x}/'>Servizio {x}</a>" for x in to) + "</main>"
+
+
+def services_of(spark, site, **more):
+    at = f"{U}/campus/servizi/"
+    responses = spark.createDataFrame([("GET", at + (f"{k}/" if k else ""), v) for k, v in site.items()], "method string, url string, body string")
+    seen = []
+    places = spark.createDataFrame([], DATASETS["places"]).withColumn("ordinal", crawl.F.lit(""))
+
+    def cut(rows):
+        out = spark.createDataFrame(rows.collect(), rows.schema)
+        seen.append(out)
+        return out
+
+    crawl.services(spark, responses, crawl.Profile("now", services=(at,), **more), {"places": places}, cut)
+    return sorted({r.source_url.removeprefix(at).strip("/") for r in seen[-1].select("source_url").collect()})
+
+
+def test_services_to_three_levels(spark):
+    """Three links away is read, four isn't; links outside `main` are none."""
+    pages = {"": page("a", "b"), "a": page("c", "a"), "b": page(), "c": page("d"), "d": page("e"), "e": page(), "nav": page()}
+    found = services_of(spark, pages)
+    assert found == ["a", "b", "c", "d"]
+    assert services_of(spark, pages, pages=1) == found  # a bound of interfaces never cuts services
+
+
+def test_pages_are_never_cut_silently(spark):
+    body = lambda i, n: json.dumps({"results": [{"TeacherName": f"T {i}"}], "next": f"/api/t?p={i + 1}" if i < n else None})
+    responses = spark.createDataFrame([("GET", f"{U}/api/t?p={i}", body(i, 4)) for i in range(5)], "method string, url string, body string")
+    assert crawl._payloads(spark, responses, f"{U}/api/t?p=0", None).count() == crawl._payloads(spark, responses, f"{U}/api/t?p=0", 5).count() == 5
+    with pytest.raises(OverflowError):
+        crawl._payloads(spark, responses, f"{U}/api/t?p=0", 4)
+
+
+def test_budget(spark):
+    responses = spark.createDataFrame([("GET", "x", None), ("GET", "y", None)], "method string, url string, body string")
+    with pytest.raises(RuntimeError, match="final failures: 2, budget 1"):
+        crawl.run(spark, responses, crawl.Profile("now", budget=1), {})
+
+
 def test_objects(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"x": 1}')
     (tmp_path / "b.json").write_text("[1]")

@@ -48,3 +48,14 @@ def test_json_arrays(spark, tmp_path):
     except ValueError:
         return
     raise AssertionError
+
+
+def test_first_rows_are_limited_before_the_exchange(spark):
+    from lucerna.operators import dedupe
+
+    rows = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), (None, 3, "z"), (None, 2, "w"), ("b", None, "v")], "k string, n int, v string")
+    plan = dedupe.first_wins(rows, ["k"], ["n"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial") and "WindowGroupLimit" in plan
+    assert sorted(r.v for r in dedupe.first_wins(rows, ["k"], ["n"]).collect()) == ["v", "w", "x"]
+    assert sorted(r.v for r in dedupe.last_wins(rows, ["k"], ["n"]).collect()) == ["v", "y", "z"]
+    assert sorted(r.v for r in dedupe.best(rows, ["k"], "n", "v").collect()) == ["v", "y", "z"]
