@@ -14,7 +14,6 @@ null teach nothing; a null doc_id is neither held out nor learned from; repeated
 
 from __future__ import annotations
 
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,6 @@ from .subword import gram_lists, gram_sums, indexed, labelled_sample, spread
 PER_LANGUAGE, LEXICON = 150, 20_000
 GRAMS, BITS = (1, 2, 3, 4), 16
 BLOCK, CHUNK, LENGTH = 32, 12, 60
-LETTER = re.compile(r"[^\W\d_]")
 
 
 class Field:
@@ -46,6 +44,11 @@ class Field:
         return total / np.maximum(count, 1)[:, None] * 4 + self.entries[entry]
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter (Unicode's categories L*); numerals such as fractions and circled digits are none."""
+    return any(map(str.isalpha, text))
+
+
 def lowered(data: bytes) -> bytes:
     return data.decode("utf-8", "replace").lower().encode()
 
@@ -190,7 +193,7 @@ def identify(docs: DataFrame, train_on: DataFrame | None = None, per_language: i
         f = field.value
         for b in slices(batches):
             data = raw(b)
-            letters = [bool(LETTER.search(t.decode("utf-8", "replace"))) for t in data]
+            letters = [has_letter(t.decode("utf-8", "replace")) for t in data]
             lang, score = ["und"] * len(data), [0.0] * len(data)
             if f is not None:
                 words, starts = split_all([lowered(t) if ok else b"" for t, ok in zip(data, letters)])
