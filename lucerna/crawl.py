@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import urls
@@ -33,7 +33,8 @@ class Profile:
     """What a crawl reads: addresses of the maps, interfaces and lists, and which sources of rooms.
 
     pages: pages of one interface that may be read; more of them fail the crawl (None: all are read).  budget: responses without a body that
-    it may have; more fail it before any stage (None: any number).
+    it may have; more fail it before any stage (None: any number).  details: teachers are asked for one by one after their list.
+    department_pages: pages read from each address of a department, to learn whose teachers are whose; 0 for none of them, None for all.
     """
 
     at: str
@@ -50,11 +51,13 @@ class Profile:
     pages: int | None = None
     budget: int | None = None
     meetings: tuple[str, ...] = ()
+    details: bool = True
+    department_pages: int | None = 10
 
 
 def fast(profile: Profile) -> Profile:
-    """Without schedules."""
-    return replace(profile, schedules=())
+    """Without schedules, details of teachers and sites of departments."""
+    return replace(profile, schedules=(), details=False, department_pages=0)
 
 
 def _bodies(responses: DataFrame, wanted) -> DataFrame:
@@ -107,8 +110,11 @@ def services(spark, responses: DataFrame, p: Profile, t: dict, cut=cut) -> dict:
 def teachers(spark, responses: DataFrame, p: Profile, t: dict, cut=cut) -> dict:
     if not p.teachers_api:
         return {}
-    rows = cut(raw.teachers(_payloads(spark, responses, p.teachers_api, p.pages), p.base))
-    people = canonical.people(rows, t["departments"], None, "unical-teachers", p.at)
+    bodies = responses.where("body is not null").select("url", "body")
+    listed = _payloads(spark, responses, p.teachers_api, p.pages)
+    rows = cut(raw.teachers(listed, p.base, p.teachers_api if p.details else None, bodies))
+    known = cut(department_map(t["departments"], bodies, p.department_pages)) if p.department_pages != 0 else None
+    people = canonical.people(rows, t["departments"], known, "unical-teachers", p.at)
     offices = canonical.offices(rows, t["buildings"], p.meetings, "unical-teachers", p.at)
     return {"people": people, "places": canonical.keep_others(t["places"].drop("ordinal"), offices, "unical-teachers", "place_id")}
 
@@ -174,11 +180,58 @@ def issues(t: dict[str, DataFrame]) -> DataFrame:
     return check(t)
 
 
+def _said(kind: str, c) -> Column:
+    return F.when(F.nullif(c, F.lit("")).isNotNull(), F.concat(F.lit(f"{kind}:"), c))
+
+
+def _book_keys(rows: DataFrame) -> DataFrame:
+    """(department_id, key) of an address book's results (department_id, results)."""
+    each = rows.select("department_id", F.explode("results").alias("v")).select("department_id", F.from_json("v", raw.PERSON).alias("x"))
+    local = F.transform(F.filter(raw.texts(F.col("x.Email")), lambda e: F.contains(e, F.lit("@"))), lambda e: F.concat(F.lit("email_local:"), F.lower(F.substring_index(e, "@", 1))))
+    keys = F.concat(F.array(_said("slug", casefold(F.trim("x.ID"))), _said("name", casefold(collapse("x.Name"))), _said("name_key", name_key("x.Name"))), local)
+    return each.select("department_id", F.explode(F.array_distinct(F.filter(keys, lambda k: k.isNotNull()))).alias("key"))
+
+
 def teacher_departments(pages: DataFrame, codes: DataFrame) -> DataFrame:
     """(key, department_id) of the address book's pages (url, results) of structures (code, department_id), only keys of one department."""
     code = F.regexp_extract(urls.query(F.col("url")), "structuretree=([0-9]+)", 1)
-    rows = pages.withColumn("code", code).join(codes, "code").select("department_id", F.explode("results").alias("v")).select("department_id", F.from_json("v", raw.PERSON).alias("x"))
-    local = F.transform(F.filter(raw.texts(F.col("x.Email")), lambda e: F.contains(e, F.lit("@"))), lambda e: F.concat(F.lit("email_local:"), F.lower(F.substring_index(e, "@", 1))))
-    said = lambda kind, c: F.when(F.nullif(c, F.lit("")).isNotNull(), F.concat(F.lit(f"{kind}:"), c))
-    keys = F.concat(F.array(said("slug", casefold(F.trim("x.ID"))), said("name", casefold(collapse("x.Name"))), said("name_key", name_key("x.Name"))), local)
-    return unique_only(rows.select("department_id", F.explode(F.array_distinct(F.filter(keys, lambda k: k.isNotNull()))).alias("key")), "key", "department_id")
+    return unique_only(_book_keys(pages.withColumn("code", code).join(codes, "code")), "key", "department_id")
+
+
+def department_map(departments: DataFrame, bodies: DataFrame, most: int | None = 10) -> DataFrame:
+    """(key, department_id): what tells a department's teachers, learned from its own site, only keys of one department.
+
+    Two worklists, each of which asks, reads and asks again until nothing is new.  The first reads at most `most` pages from each of a
+    department's addresses: a page that names structures ends there, others lead on by their links to staff.  The second reads the address
+    book of each structure to its end.  A page's own keys count if it names no structure.  Departments without an address have no keys.
+    """
+    at = departments.where("department_id is not null and department_id <> ''").select("department_id", F.explode(F.array("website_url", "source_url")).alias("u"))
+    seeds = at.select("department_id", F.explode(urls.people_seeds(F.col("u"))).alias("url")).distinct()
+    mine = seeds.select(urls.site(F.col("url")).alias("_site")).distinct()
+    pages = bodies.withColumn("_site", urls.site(F.col("url"))).join(mine, "_site", "left_semi")
+    codes = F.array_distinct(F.concat(*[F.regexp_extract_all("body", F.lit(p), F.lit(1)) for p in raw.STRUCTURE_CODES]))
+    pages = cut(pages.select("url", "body", codes.alias("codes")))
+    href = F.trim(F.col("attrs")["href"])
+    links = markup.nodes(pages.where("size(codes) = 0").select("url", "body"), "url", "body", ("a",)).select("url", href.alias("href"), "text").where("href <> ''")
+    mail = F.startswith("href", F.lit("mailto:"))
+    links = cut(links.withColumn("to", F.when(~mail, urls.absolute(F.col("url"), F.col("href")))).where(mail | urls.scheme(F.col("to")).isin("http", "https")))
+    said = lambda c: F.exists(F.array(*map(F.lit, urls.STAFF)), lambda x: F.contains(c, x))
+    low, onward = casefold(F.col("text")), urls.without_fragment(F.col("to"))
+    staff = said(low) | said(casefold(F.col("to"))) | urls.leads_to_people(F.col("url"), F.col("to"), low)
+    leads = links.where(F.col("to").isNotNull() & (urls.site(F.col("to")) == urls.site(F.col("url"))) & staff).select("url", onward.alias("target")).distinct()
+    read = requests.worklist(seeds.select(F.struct("department_id", F.col("url").alias("first")).alias("seed"), "url"), lambda x: x.join(leads, "url").select("seed", "place", "target"), most)
+    read = read.select("seed.department_id", "url").distinct()
+    slug = F.lower(F.trim(F.regexp_extract("to", r"(?i)/storage/teachers/([^/?#]+)/?", 1)))
+    address = F.replace("href", F.lit("mailto:"), F.lit(""))
+    local = F.when(F.contains(address, F.lit("@")), casefold(F.trim(F.substring_index(address, "@", 1))))
+    own = F.when(mail, F.array(_said("email_local", local))).otherwise(F.array(_said("name_key", name_key("text")), _said("slug", slug)))
+    found = links.select("url", F.explode(F.filter(own, lambda k: k.isNotNull())).alias("key")).distinct().join(read, "url").select("department_id", "key")
+    named = read.join(pages.select("url", F.explode("codes").alias("code")), "url").select("department_id", "code").distinct()
+    books = raw.payload_pages(bodies.where(F.contains("url", F.lit(urls.ADDRESS_BOOK.split("?")[0].split("//")[1]))))
+    answered = requests.worklist(
+        named.select(F.col("code").alias("seed")).distinct().select("seed", F.concat(F.lit(urls.ADDRESS_BOOK), "seed").alias("url")),
+        lambda x: x.join(books.select("url", F.col("next").alias("target")), "url").select("seed", "place", "target"),
+    )
+    results = answered.join(books.select("url", "results"), "url").select(F.col("seed").alias("code"), "results").join(named, "code")
+    keys = found.unionByName(_book_keys(results)).unionByName(named.select("department_id", F.concat(F.lit("department_code:"), "code").alias("key")))
+    return unique_only(keys.distinct(), "key", "department_id")

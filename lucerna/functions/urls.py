@@ -32,6 +32,9 @@ SERVICE_PARTS = ("segreter", "servizi", "service", "ufficio")
 TEACHERS_API = r"(?i)((?:(?:https?:)?//[^\"'\s>]*?)?/api/ricerca/teachers/?(?:\?[^\"'\s>]*)?)"
 STRUCTURES_API = "/api/ricerca/structures/"
 PEOPLE_PATH = "/dipartimento/presentazione/persone"
+DEPARTMENT_SITES = ".unical.it"
+STAFF = ("docent", "ricerc", "person", "people", "staff", "professor", "fascia", "assegn", "dottor")
+ADDRESS_BOOK = "https://storage.portale.unical.it/api/ricerca/addressbook/?structuretree="
 
 
 def _any(c, parts) -> Column:
@@ -147,6 +150,20 @@ def teacher_url(base, email, ident) -> Column:
     return F.when(named.isNotNull(), absolute(base, F.concat(F.lit("/storage/teachers/"), F.replace(F.url_encode(named), F.lit("+"), F.lit("%20")), F.lit("/"))))
 
 
+def teacher_detail(api, ident) -> Column:
+    """The address that the teachers' interface gives a teacher's details at; null without an id."""
+    quoted = F.replace(F.regexp_replace(F.replace(F.url_encode(ident), F.lit("+"), F.lit("%20")), r"\*", "%2A"), F.lit("%7E"), F.lit("~"))
+    return F.concat(scheme(api), F.lit("://"), site(api), F.regexp_replace(path(api), "/+$", ""), F.lit("/"), F.nullif(quoted, F.lit("")), F.lit("/?format=json"))
+
+
+def people_seeds(c) -> Column:
+    """Where a department's own site is read from: its address up to the path, and its lists of people; none for other sites."""
+    root = F.concat(scheme(c), F.lit("://"), site(c))
+    lists = [F.concat(root, F.lit(f"{PEOPLE_PATH}/{x}")) for x in ("", "?lang=it")]
+    own = F.concat(root, F.regexp_replace(path(c), "/?$", "/"))
+    return F.when(scheme(c).isin("http", "https") & F.endswith(site(c), F.lit(DEPARTMENT_SITES)), F.array_distinct(F.array(own, *lists))).otherwise(F.array().cast("array<string>"))
+
+
 def leads_to_people(page, link, text) -> Column:
     """Whether a link is one of a list of people: to it, or from it to a further page."""
     here, there = F.contains(F.lower(path(page)), F.lit(PEOPLE_PATH)), F.contains(F.lower(path(link)), F.lit(PEOPLE_PATH))

@@ -42,6 +42,20 @@ def request_cache(spark, d):
     return requests.through_cache(keyed, body(0, "cached"), body(1, "fetched")).select("page_id", "hit", "body")
 
 
+@query(r"""select page_id, v, sha256('{"method":"POST","payload":{"a":{"y":[1,2],"z":"pi\u00f9 ' || v || '"},"b":' || page_id || '},"url":"https://h/api"}') as key, 'answer ' || v || ' of ' || length(html) as body
+from pages, (select unnest([0, 1]) as v) where page_id % 7 <> 3""")
+def post_requests(spark, d):
+    """Two requests a page to one address, told apart by payloads that are written otherwise than those on record."""
+    each = table(spark, d, "pages").select("page_id", F.length("html").alias("n"), F.explode(F.array(F.lit(0), F.lit(1))).alias("v"))
+    text = lambda *parts: F.concat(*[x if not isinstance(x, str) else F.lit(x) for x in parts])
+    n, v = F.col("page_id").cast("string"), F.col("v").cast("string")
+    to = lambda method, payload: each.withColumns({"method": F.lit(method), "url": F.lit("https://h/api"), "payload": payload})
+    asked = to("post", text('{"b": ', n, ', "a": {"z": "pi\u00f9 ', v, '", "y": [1, 2]}}')).drop("n")
+    said = to("POST", text('{"a":{"z":"pi\\u00F9 ', v, '","y":[1,2]}, "b":', n, "}")).where("page_id % 7 <> 3").withColumn("body", text("answer ", v, " of ", F.col("n").cast("string")))
+    out = tables.replayed(asked, said.select("method", "url", "payload", "body"))
+    return out.select("page_id", "v", requests.cache_key(F.col("method"), F.col("url"), F.col("payload")).alias("key"), "body")
+
+
 ARRAYS = pick(["'[{\"id\": \"a' || p_size || '\", \"n\": ' || p_size || '}, 7, {\"n\": 1}]'", "'{\"id\": \"x\"}'", "'not json'", "'[]'", "null"])
 
 
@@ -184,6 +198,43 @@ def teacher_map(spark, d):
     return crawl.teacher_departments(pages, spark.createDataFrame([("100", "d100"), ("101", "d101")], "code string, department_id string"))
 
 
+LISTED = """select 'https://s.it/api?p=' || s_suppkey as url, s_suppkey as step, '{"results": [{"TeacherName": "' || s_name || '", "TeacherID": "' || case when s_suppkey % 5 = 4 then '' else 't ' || s_suppkey end || '", "Email": ["t' || s_suppkey || '@u.it"], "TeacherDepartmentName": "D"}]}' as body from {supplier}"""
+DETAILS = """select 'https://s.it/api/t%20' || s_suppkey || '/?format=json' as url, '{"results": ' || case when s_suppkey % 4 = 1 then '[]' when s_suppkey % 4 = 2 then '{"TeacherEmail": [3, " x' || s_suppkey || '@u.it "], "TeacherOffice": "Cubo  ' || s_nationkey || '", "ReceptionHours": "lun ' || s_nationkey || '"}'
+else '{"TeacherTelOffice": ["", "0984 ' || s_suppkey || '"], "TeacherOffice": "Cubo ' || s_nationkey || '", "TeacherOfficeReference": "Stanza ' || s_suppkey || '", "ReceptionHours": ["none"], "TeacherDepartmentCod": "0' || s_nationkey || '"}' end || '}' as body from {supplier}"""
+
+
+@query("""with s as (select *, case when s_suppkey % 5 = 4 then 1 else s_suppkey % 4 end as k from supplier)
+select s_name as full_name, case when k = 2 then 'x' else 't' end || s_suppkey || '@u.it' as email, case when k in (0, 3) then '0984 ' || s_suppkey end as phone, case when k in (0, 3) then '0' || s_nationkey end as department_code, case when k = 2 then 'lun ' || s_nationkey end as office_hours,
+case when k in (0, 3) then 'Stanza ' || s_suppkey end as office_reference, case when k = 2 then 'Cubo ' || s_nationkey when k in (0, 3) then 'Office: Cubo ' || s_nationkey || ' | Office references: Stanza ' || s_suppkey end as notes, 'https://u.it/storage/teachers/t' || s_suppkey || '/' as website_url from s""")
+def teacher_details(spark, d):
+    """The second wave: every listed teacher with an id is asked for, and what the answer says goes first."""
+    listed = made(spark, d, LISTED, "supplier")
+    pages = raw.payload_pages(listed.select("url", "body")).join(listed.select("url", "step"), "url")
+    out = raw.teachers(pages, "https://u.it/", "https://s.it/api/", made(spark, d, DETAILS, "supplier"))
+    return out.select("full_name", "email", "phone", "department_code", "office_hours", "office_reference", "notes", "website_url")
+
+
+# Departments whose site names a structure, leads to a list of staff or is not on record.  A structure's people stand on two pages.
+SITES = """select s_suppkey, 'https://d' || s_suppkey || '.unical.it' as site, '""" + urls.ADDRESS_BOOK + """' || (100000 + s_suppkey) as book from {supplier}"""
+SAID = [
+    ("s_suppkey % 3 = 0", "site || '/'", "'<script src=\"' || book || '\"></script><a href=\"mailto:not.read@u.it\">x</a>'"),
+    ("s_suppkey % 3 = 0", "book", "'{\"results\": [{\"ID\": \"A.' || s_suppkey || '\", \"Name\": \"Rossi  P' || s_suppkey || '\", \"Email\": [\"p' || s_suppkey || '@u.it\"]}, {\"ID\": \"both\"}], \"next\": \"' || book || '&page=2\"}'"),
+    ("s_suppkey % 3 = 0", "book || '&page=2'", "'{\"results\": [{\"ID\": \"B.' || s_suppkey || '\"}], \"next\": \"' || book || '\"}'"),
+    ("s_suppkey % 3 = 1", "site || '/'", "'<a href=\"mailto:M' || s_suppkey || '@u.it\">m</a><a href=\"/docenti#top\">Elenco</a><a href=\"/news\">Notizie</a>'"),
+    ("s_suppkey % 3 = 1", "site || '/docenti'", "'<a href=\"https://www.unical.it/storage/teachers/S.' || s_suppkey || '/\">Verdi S' || s_suppkey || '</a>'"),
+    ("s_suppkey % 3 = 1", "site || '/news'", "'<a href=\"mailto:n' || s_suppkey || '@u.it\">not read</a>'"),
+]
+KEYS_OF = [(0, "'department_code:' || (100000 + n)"), (0, "'slug:a.' || n"), (0, "'name:rossi p' || n"), (0, "'name_key:p' || n || '-rossi'"), (0, "'email_local:p' || n"), (0, "'slug:b.' || n"), (1, "'email_local:m' || n"), (1, "'slug:s.' || n"), (1, "'name_key:s' || n || '-verdi'")]
+
+
+@query(" union all ".join(f"select {k} as key, 'd' || n as department_id from (select s_suppkey as n from supplier) where n % 3 = {r}" for r, k in KEYS_OF))
+def harvest_rounds(spark, d):
+    """Sites are read, structures found in them asked for, and their pages followed, until nothing is new."""
+    said = " union all ".join(f"select {url} as url, {body} as body from ({SITES}) where {which}" for which, url, body in SAID)
+    departments = made(spark, d, SITES, "supplier").select(F.concat(F.lit("d"), "s_suppkey").alias("department_id"), F.col("site").alias("website_url"), F.lit("https://elsewhere.it/").alias("source_url"))
+    return crawl.department_map(departments, made(spark, d, said, "supplier")).select("key", "department_id")
+
+
 VALUES = pick(["'[\"\", 3, \" a  ' || p_size || '\", \"b\"]'", "' x ' || p_size", "'\"q' || p_size || '\"'", "'[]'", "'{\"a\": 1}'", "null"])
 
 

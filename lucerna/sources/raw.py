@@ -169,15 +169,63 @@ def texts(c) -> Column:
     return F.coalesce(F.filter(F.transform(F.coalesce(F.when(F.startswith(F.ltrim(c), F.lit("[")), strings), one), collapse), lambda x: x != ""), F.array().cast("array<string>"))
 
 
-def teachers(pages: DataFrame, base: str) -> DataFrame:
-    """Raw teachers of the interface's pages (url, step, results), the first of a name and address."""
+def _strings(v, field: str, listed: bool = True) -> Column:
+    """The strings of an object's field (a variant), the field itself or, if listed, those in its list; tidy and not empty."""
+    x = F.try_variant_get(v, f"$.{field}", "variant")
+    said = lambda y: F.when(F.schema_of_variant(y) == "STRING", F.try_variant_get(y, "$", "string"))
+    many = F.transform(F.try_variant_get(v, f"$.{field}", "array<variant>"), said)
+    one = F.array(said(x))
+    return F.filter(F.transform(F.coalesce(many, one) if listed else one, none_if_empty), lambda y: y.isNotNull())
+
+
+#: What a teacher's details say, in the order of the columns.
+DETAIL = "email string, phone string, department_name string, department_code string, website_url string, office_hours string, office_reference string, notes string"
+
+
+def teacher_details(bodies: DataFrame) -> DataFrame:
+    """(url, d) of payloads (url, body) whose `results` is an object: what they say of a teacher.  Others have no rows.
+
+    Of several bodies of one address the least row counts; an object with a key twice is no payload.
+    """
+    said = bodies.select("url", F.try_variant_get(F.try_parse_json("body"), "$.results", "variant").alias("v")).where(F.startswith(F.schema_of_variant("v"), F.lit("OBJECT")))
+    first = lambda c, listed=True: F.get(_strings(F.col("v"), c, listed), F.lit(0))
+    office, reference = first("TeacherOffice", False), first("TeacherOfficeReference")
+    notes = F.when(reference.isNull(), office).otherwise(F.concat_ws(" | ", F.concat(F.lit("Office: "), office), F.concat(F.lit("Office references: "), reference)))
+    of = {"email": first("TeacherEmail"), "phone": first("TeacherTelOffice"), "department_name": first("TeacherDepartmentName"), "department_code": first("TeacherDepartmentCod"), "website_url": first("TeacherWebSite"), "office_hours": first("ReceptionHours", False), "office_reference": reference, "notes": notes}
+    return said.select("url", F.struct(*[v.alias(k) for k, v in of.items()]).alias("d")).groupBy("url").agg(F.min("d").alias("d"))
+
+
+def detailed(rows: DataFrame, details: DataFrame | None) -> DataFrame:
+    """rows (detail_url, ...) with details (url, d): what a detail says goes before what the list says."""
+    asked = rows.where("detail_url is not null")
+    none = F.lit(None).cast(f"struct<{DETAIL.replace(' ', ':').replace(',:', ',')}>")
+    if details is None:
+        out = rows.withColumn("d", none)
+    else:  # rows without an address of details don't meet in one task
+        out = asked.join(details.withColumnRenamed("url", "detail_url"), "detail_url", "left").unionByName(rows.where("detail_url is null").withColumn("d", none))
+    both = ("email", "department_name", "department_code", "website_url")
+    return out.withColumns({c: F.coalesce(f"d.{c}", c) for c in both} | {c: F.col(f"d.{c}") for c in ("phone", "office_hours", "office_reference", "notes")})
+
+
+def teachers(pages: DataFrame, base: str, api: str | None = None, bodies: DataFrame | None = None) -> DataFrame:
+    """Raw teachers of the interface's pages (url, step, results), the first of a name and address.
+
+    With the interface's own address and responses (url, body) the rows are asked for in a second wave: a teacher with an id has what the
+    answer under `<api>/<id>/` says; one without an id or an answer stays as listed.
+    """
     rows = pages.select("url", "step", F.posexplode("results").alias("_i", "v")).select("*", F.from_json("v", PERSON).alias("x")).withColumn("full_name", none_if_empty("x.TeacherName")).where("full_name is not null")
     first = lambda c: F.get(texts(F.col(f"x.{c}")), F.lit(0))
     out = rows.withColumns({"email": first("Email"), "department_name": first("TeacherDepartmentName"), "department_code": first("TeacherDepartmentCod")})
     out = out.withColumn("website_url", urls.teacher_url(F.lit(base), F.col("email"), none_if_empty("x.TeacherID"))).withColumn("source_url", F.coalesce("website_url", "url")).withColumn("ordinal", F.struct("step", "_i"))
-    one = out.groupBy(casefold(F.col("full_name")).alias("_k"), "email").agg(F.min_by(F.struct("ordinal", "full_name", "source_url", "department_name", "department_code", "website_url"), "ordinal").alias("r"))
-    none = [F.lit(None).cast("string").alias(c) for c in ("phone", "office_hours", "office_reference", "notes")]
-    return one.select("r.ordinal", "r.full_name", "r.source_url", "email", "r.department_name", "r.department_code", "r.website_url", *none)
+    out = out.withColumn("detail_url", F.lit(None).cast("string") if api is None else urls.teacher_detail(F.lit(api), none_if_empty("x.TeacherID")))
+    details = None
+    if api is not None:
+        asked = out.where("detail_url is not null").select(F.col("detail_url").alias("url")).distinct()
+        details = teacher_details(bodies.select("url", "body").join(asked, "url", "left_semi"))
+    out = detailed(out.select("ordinal", "full_name", "source_url", "email", "department_name", "department_code", "website_url", "detail_url"), details)
+    told = ("ordinal", "full_name", "source_url", "department_name", "department_code", "website_url", "phone", "office_hours", "office_reference", "notes")
+    one = out.groupBy(casefold(F.col("full_name")).alias("_k"), "email").agg(F.min_by(F.struct(*told), "ordinal").alias("r"))
+    return one.select("r.ordinal", "r.full_name", "r.source_url", "email", *[f"r.{c}" for c in told[3:]])
 
 
 def departments(pages: DataFrame, base: str) -> DataFrame:

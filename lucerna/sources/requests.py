@@ -12,10 +12,25 @@ from ..operators.rules import cut
 RETRIED = (408, 425, 429, 500, 502, 503, 504)
 
 
+def ascii_json(c) -> Column:
+    """A JSON text with every character outside printable ASCII as `\\uXXXX` in small letters, those beyond U+FFFF as two of them."""
+    parts = F.regexp_extract_all(c, F.lit(r"(\\u[0-9A-Fa-f]{4}|\\.|[ -\[\]-~]+|[^ -~])"), F.lit(1))
+    units = lambda x: F.lower(F.regexp_replace(F.hex(F.encode(x, "UTF-16BE")), "(.{4})", r"\\u$1"))
+    return F.array_join(F.transform(parts, lambda x: F.when(F.rlike(x, F.lit(r"^\\u")), F.lower(x)).when(F.rlike(x, F.lit("^[ -~]")), x).otherwise(units(x))), "")
+
+
+def canonical_json(c) -> Column:
+    """One text for all ways to write a JSON value: keys sorted at every depth, no white space, ASCII; null stays null.
+
+    Numbers lose zeros at the end of fractions.  What is no JSON, or has a key twice in one object, fails the query.
+    """
+    return ascii_json(F.to_json(F.parse_json(c)))
+
+
 def cache_key(method, url, payload=None) -> Column:
-    """SHA-256 of the compact JSON object of method, payload and url.  payload is compact JSON with sorted keys; URLs are ASCII."""
-    quoted = lambda c: F.regexp_replace(F.to_json(F.struct(c.alias("x"))), r'^\{"x":|\}$', "")
-    body = F.lit("null") if payload is None else F.coalesce(payload, F.lit("null"))
+    """SHA-256 of the canonical JSON object of method, payload (JSON in any form, null without one) and url."""
+    quoted = lambda c: ascii_json(F.regexp_replace(F.to_json(F.struct(c.alias("x"))), r'^\{"x":|\}$', ""))
+    body = F.lit("null") if payload is None else F.coalesce(canonical_json(payload), F.lit("null"))
     return F.sha2(F.concat(F.lit('{"method":'), quoted(F.upper(method)), F.lit(',"payload":'), body, F.lit(',"url":'), quoted(url), F.lit("}")), 256)
 
 
@@ -71,6 +86,35 @@ def crawl(seeds: DataFrame, links: DataFrame, max_pages: int, depth: int = 100)
     return seen
 
 
+def worklist(seeds: DataFrame, follow, most: int | None = None) -> DataFrame:
+    """(seed, url, place) of the requests that each seed leads to, breadth first, until nothing is new or a seed has `most` of them.
+
+    seeds is (seed, url).  follow takes what was just requested (seed, url, place) and gives what its answers name, (seed, place, target);
+    an answer may be a page, a payload or an error, so what is requested next can depend on it in any way.  A seed's requests are taken by
+    the place of the one that first names them, then by url; each once a seed.  With several urls of one seed the first step takes them
+    in their order.  Only the last step's requests are followed.
+    """
+    front = seeds.where("seed is not null and url is not null").select("seed", "url", F.lit(0).cast("long").alias("by")).distinct()
+    seen = None
+    w = Window.partitionBy("seed").orderBy("by", "url")
+    while True:
+        took = front
+        if seen is not None:
+            had = seen.groupBy("seed").agg(F.max("place").alias("_had"))
+            took = front.join(had, "seed", "left")
+        else:
+            took = took.withColumn("_had", F.lit(0).cast("long"))
+        took = took.withColumn("place", F.row_number().over(w) + F.col("_had"))
+        if most is not None:
+            took = took.where(F.col("place") <= most)
+        took = cut(took.select("seed", "url", "place"))
+        if took.isEmpty():
+            return took if seen is None else seen
+        seen = took if seen is None else seen.unionByName(took)
+        named = follow(took).where("target is not null").groupBy("seed", F.col("target").alias("url")).agg(F.min("place").alias("by"))
+        front = named.join(seen.select("seed", "url"), ["seed", "url"], "left_anti")
+
+
 def levels(seeds: DataFrame, links: DataFrame, n: int) -> DataFrame:
     """Distinct urls that 1 to n links lead to from the seeds (a seed too, if a page names it); all of them, however many they are."""
     out = front = None

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .requests import cache_key
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -33,8 +35,15 @@ def json_texts(rows: DataFrame, key: str, text: str, schema: str) -> DataFrame:
 
 
 def replayed(requests: DataFrame, responses: DataFrame, strict: bool = False) -> DataFrame:
-    """Bodies for (method, url); misses are left out, or raise when the plan runs."""
-    out = requests.join(responses.select("method", "url", "body"), ["method", "url"], "left")
+    """Bodies for (method, url); misses are left out, or raise when the plan runs.
+
+    If both have a payload (JSON or null), requests are met by method, url and payload, in whatever form the payload is written.
+    """
+    if "payload" in requests.columns and "payload" in responses.columns:
+        keyed = lambda x: x.withColumn("_key", cache_key(F.col("method"), F.col("url"), F.col("payload")))
+        out = keyed(requests).join(keyed(responses).select("_key", "body"), "_key", "left").drop("_key")
+    else:
+        out = requests.join(responses.select("method", "url", "body"), ["method", "url"], "left")
     if strict:
         return out.withColumn("body", F.coalesce("body", F.raise_error(F.concat(F.lit("missing "), "url")).cast("string")))
     return out.where("body is not null")

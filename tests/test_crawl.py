@@ -53,6 +53,45 @@ def test_crawl(spark, tmp_path):
         registry.seed(spark, at("old"), at("old/"), DATASETS)
 
 
+def test_details_and_departments(spark):
+    """Offices come from details, departments of teachers without one from the sites of departments; a fast crawl asks for neither."""
+    book = "https://storage.portale.unical.it/api/ricerca/addressbook/?structuretree=77"
+    more = [
+        ("GET", f"{U}/api/t?p=1", json.dumps({"results": [{"TeacherName": "Ugo Neri", "TeacherID": "u/n *~"}, {"TeacherName": "Ada Rossi", "Email": "a@u.it"}, {"TeacherName": "Eva Blu", "TeacherID": "gone"}], "next": None})),
+        ("GET", f"{U}/api/t/u%2Fn%20%2A~/?format=json", json.dumps({"results": {"TeacherEmail": ["u@u.it"], "TeacherOffice": "Cubo 3B", "TeacherOfficeReference": ["", "Cubo 3B, piano 2, stanza 5"], "ReceptionHours": "lunedì 10-12"}})),
+        ("GET", f"{U}/api/t/gone/?format=json", "no json"),
+        ("GET", "https://dimes.unical.it/", f"<a href='{book}'>x</a>"),
+        ("GET", book, json.dumps({"results": [{"Name": "Ugo Neri"}, 5], "next": "?structuretree=77&page=2"})),
+        ("GET", book + "&page=2", json.dumps({"results": [{"Name": "x", "Email": ["a@u.it"]}], "next": book})),
+    ]
+    responses = spark.createDataFrame(more, "method string, url string, body string")
+    t = {k: spark.createDataFrame([], DATASETS[k]).withColumn("ordinal", crawl.F.lit("")) for k in ("departments", "buildings", "places")}
+    t["departments"] = spark.createDataFrame([("dimes", "DIMES", "https://dimes.unical.it")], "department_id string, name string, website_url string")
+    t["departments"] = t["departments"].select(*[crawl.F.col(c) if c in t["departments"].columns else crawl.F.lit(None).cast("string").alias(c) for c in spark.createDataFrame([], DATASETS["departments"]).columns])
+    p = crawl.Profile("now", teachers_api=f"{U}/api/t?p=1")
+    got = crawl.teachers(spark, responses, p, t)
+    people = {r.full_name: r for r in got["people"].collect()}
+    assert {k: (r.department_id, r.email) for k, r in people.items()} == {"Ugo Neri": ("dimes", "u@u.it"), "Ada Rossi": ("dimes", "a@u.it"), "Eva Blu": (None, None)}
+    assert people["Ugo Neri"].office_hours == "lunedì 10-12" and [r.place_id for r in got["places"].collect()] == [people["Ugo Neri"].office_place_id]
+    quick = crawl.teachers(spark, responses, crawl.fast(p), t)
+    assert {r.department_id for r in quick["people"].collect()} == {None} and quick["places"].isEmpty()
+
+
+def test_department_pages(spark):
+    """Pages are taken breadth first, by the page that names them and by address, up to the bound of each address; keys of two departments are none."""
+    at = "https://d.unical.it"
+    staff = lambda *to, key="": "".join(f"<a href='{x}'>Docenti</a>" for x in to) + f"<a href='mailto:{key}@u.it'>m</a><a>no address</a><a href='javascript:x()'>staff</a>"
+    site = {f"{at}/": staff("/b", "/a", "https://e.unical.it/other", key="home"), f"{at}/a": staff("/c", "/", key="a"), f"{at}/b": staff("/d", key="both"), f"{at}/c": staff(key="c"), f"{at}/d": staff("/", key="d"), "https://e.unical.it/": staff(key="both"), "https://e.unical.it/other": staff(key="other")}
+    bodies = spark.createDataFrame(list(site.items()), "url string, body string")
+    departments = spark.createDataFrame([("d", at, None), ("e", None, "https://e.unical.it"), ("f", "https://elsewhere.it/", "no address"), (None, at, at)], "department_id string, website_url string, source_url string")
+    found = lambda most: {r.key: r.department_id for r in crawl.department_map(departments, bodies, most).collect()}
+    of = lambda *names: {f"email_local:{x}": "d" for x in names}
+    assert found(None) == of("home", "a", "c", "d")
+    assert found(4) == of("home", "a", "c") and found(3) == of("home", "a")
+    assert found(2) == of("home", "a") | {"email_local:both": "e"}
+    assert crawl.department_map(departments, bodies.limit(0)).isEmpty() and crawl.department_map(departments.limit(0), bodies).isEmpty()
+
+
 def page(*to):
     return "<nav><a href='/campus/servizi/nav/'>Servizio nav</a></nav><main class='x'><h1>Servizio</h1>" + "".join(f"<a href='/campus/servizi/{x}/'>Servizio {x}</a>" for x in to) + "</main>"
 

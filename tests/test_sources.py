@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from lucerna.sources import markup, requests
+from lucerna.sources import markup, raw, requests, tables
 
 PAGE = """<html><body><h1>T &amp; x</h1><p>one<p>two<br><a href="u?a=1&amp;b">go <b>on</b></a></i>
 <table><tr><th>Aula<th>Posti</tr><tr><td>A1</td><td> 30 </td></tr><tr><td></td></tr></table>
@@ -71,3 +71,32 @@ def test_crawls(spark):
     assert requests.crawl(seed, links, 99).count() == 6
     assert requests.crawl(seed.limit(0), links, 5).count() == 0
     assert sorted(r.url for r in requests.expand(seed, links, 1).collect()) == ["a", "b", "s"]
+
+
+def test_payload_keys(spark):
+    """Every way to write a payload has one key, which is that of the sorted, compact, escaped object."""
+    given = [{"b": [1, {"z": None, "a": True}], "a": {"è": "x\n\u0001\x7f\\u001F", "A": "\U0001f600 \"q\" /"}}, {"": {"b": 1, "a": -2}, "f": 1.5}, {}, [], "s", None]
+    rows = [(i, json.dumps(v, ensure_ascii=bool(w), indent=w), json.dumps(v, sort_keys=True, separators=(",", ":"))) for i, v in enumerate(given) for w in (None, 2)]
+    out = spark.createDataFrame(rows, "i int, p string, want string").withColumns({"got": requests.canonical_json("p"), "key": requests.cache_key(F.lit("post"), F.lit("https://h/è"), F.col("p"))}).collect()
+    assert [r.got for r in out] == [r.want for r in out]
+    digest = lambda want: hashlib.sha256(('{"method":"POST","payload":' + want + ',"url":"https://h/\\u00e8"}').encode()).hexdigest()
+    assert [r.key for r in out] == [digest(r.want) for r in out]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        spark.createDataFrame([("no json",)], "p string").select(requests.canonical_json("p")).collect()
+
+
+def test_replayed_by_payload(spark):
+    said = spark.createDataFrame([("POST", "u", '{"a": 1, "b": 2}', "first"), ("POST", "u", '{"a":2}', "second"), ("GET", "u", None, "page")], "method string, url string, payload string, body string")
+    asked = spark.createDataFrame([(1, "post", "u", '{"b":2,"a":1}'), (2, "POST", "u", '{"a":2}'), (3, "get", "u", None), (4, "POST", "u", '{"a":3}')], "i int, method string, url string, payload string")
+    assert {r.i: r.body for r in tables.replayed(asked, said).collect()} == {1: "first", 2: "second", 3: "page"}
+    with pytest.raises(Exception, match="missing u"):
+        tables.replayed(asked, said, strict=True).collect()
+
+
+def test_teacher_details(spark):
+    """Only answers whose results are an object say something; repeated answers count once, nulls and other kinds of values are nothing."""
+    body = lambda x: json.dumps({"results": x})
+    rows = [("a", body({"TeacherOffice": ["x"], "TeacherOfficeReference": [None, 4, " R  1 "], "TeacherTelOffice": 5})), ("b", body([])), ("c", None), ("d", "no json"), ("e", body({})), ("e", body({})), (None, body({"TeacherOffice": "O"})), ("f", body({"TeacherOffice": "O"}))]
+    got = {r.url: r.d for r in raw.teacher_details(spark.createDataFrame(rows, "url string, body string").withColumn("d", F.lit(1))).collect()}
+    assert set(got) == {"a", "e", None, "f"} and set(got["e"].asDict().values()) == {None}
+    assert (got["a"].office_reference, got["a"].notes, got["a"].phone, got["f"].notes) == ("R 1", "Office references: R 1", None, "O")
