@@ -104,10 +104,11 @@ def worklist(seeds: DataFrame, follow, most: int | None = None) -> DataFrame:
             took = front.join(had, "seed", "left")
         else:
             took = took.withColumn("_had", F.lit(0).cast("long"))
-        took = took.withColumn("place", F.row_number().over(w) + F.col("_had"))
-        if most is not None:
-            took = took.where(F.col("place") <= most)
-        took = cut(took.select("seed", "url", "place"))
+        took = took.withColumn("_n", F.row_number().over(w))
+        if most is not None:  # the first bound limits groups before the exchange, the second is the seed's own
+            took = took.where(F.col("_n") <= most).where(F.col("_n") + F.col("_had") <= most)
+        took = took.withColumn("place", F.col("_n") + F.col("_had"))
+        took = cut(took.select("seed", "url", F.col("place").cast("long").alias("place")))
         if took.isEmpty():
             return took if seen is None else seen
         seen = took if seen is None else seen.unionByName(took)

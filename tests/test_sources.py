@@ -100,3 +100,16 @@ def test_teacher_details(spark):
     got = {r.url: r.d for r in raw.teacher_details(spark.createDataFrame(rows, "url string, body string").withColumn("d", F.lit(1))).collect()}
     assert set(got) == {"a", "e", None, "f"} and set(got["e"].asDict().values()) == {None}
     assert (got["a"].office_reference, got["a"].notes, got["a"].phone, got["f"].notes) == ("R 1", "Office references: R 1", None, "O")
+
+
+def test_worklist(spark, monkeypatch):
+    """Breadth first by seed; nulls are no requests; a bound limits groups before the exchange."""
+    plans = []
+    monkeypatch.setattr(requests, "cut", lambda x: plans.append(x._jdf.queryExecution().toString()) or spark.createDataFrame(x.collect(), x.schema))
+    links = spark.createDataFrame([("a", "c"), ("a", "b"), ("b", "a"), ("b", "d"), ("c", "e"), ("e", None)], "url string, target string")
+    seeds = spark.createDataFrame([("s", "a"), ("s", "a"), ("t", "c"), (None, "a"), ("u", None)], "seed string, url string")
+    follow = lambda x: x.join(links, "url").select("seed", "place", "target")
+    run = lambda most: sorted((r.seed, r.place, r.url) for r in requests.worklist(seeds, follow, most).collect())
+    whole = [("s", 1, "a"), ("s", 2, "b"), ("s", 3, "c"), ("s", 4, "d"), ("s", 5, "e"), ("t", 1, "c"), ("t", 2, "e")]
+    assert run(None) == whole and run(3) == [x for x in whole if x[1] <= 3]
+    assert "WindowGroupLimit" in plans[-1].split("Physical Plan")[1] and requests.worklist(seeds.limit(0), follow).isEmpty()
