@@ -177,6 +177,7 @@ def _crawled(spark, a, only: str | None) -> int:
         return spark.read.schema(rows.schema).parquet(written[-1])
 
     if only:
+        crawls.affordable(responses, profile)
         stage, t = dict(crawls.STAGES)[only], data.all()
         _write(a.out, **{name: crawls.shaped(rows, t[name]) for name, rows in stage(spark, responses, profile, t, cut).items()})
         return 0
@@ -185,9 +186,12 @@ def _crawled(spark, a, only: str | None) -> int:
     new = spark.createDataFrame([(f"unical-{x}", x, profile.base, None, a.verified_at) for x in ("departments", "services", "teachers", "aulas")], "source_id string, name string, base_url string, notes string, last_crawled_at string")
     t["sources"] = registry.upsert_sources(t["sources"].drop("ordinal"), new).withColumn("ordinal", F.col("source_id"))
     _write(a.out, **t)
-    errors = check(t).where("level = 'error'").orderBy("file", "record_id", "message").limit(20).collect()
+    found = check(t).where("level = 'error'")
+    errors = found.orderBy("file", "record_id", "message").limit(20).collect()
     for r in errors:
         print(f"{r.level} {r.file} {r.record_id or '-'}: {r.message}")
+    if len(errors) == 20:
+        print(f"first 20 of {found.count()} errors")
     return int(bool(errors))
 
 

@@ -154,13 +154,18 @@ def shaped(rows: DataFrame, like: DataFrame) -> DataFrame:
     return rows.select(*[(F.col(c) if c in rows.columns else F.lit(None)).cast(like.schema[c].dataType).alias(c) for c in like.columns if c != "ordinal"])
 
 
+def affordable(responses: DataFrame, profile: Profile) -> None:
+    """Raises RuntimeError if more responses have no body than the profile's budget allows."""
+    if profile.budget is not None and (failed := responses.where("body is null").count()) > profile.budget:
+        raise RuntimeError(f"final failures: {failed}, budget {profile.budget}")
+
+
 def run(spark: SparkSession, responses: DataFrame, profile: Profile, baseline: dict[str, DataFrame], contract: dict | None = None, landmarks=(), cut=cut) -> dict[str, DataFrame]:
     """All datasets: each stage's tables over the baseline's rows, which stay where a stage says nothing of them.
 
     cut: writes a table and reads it again, so that a stage's plan does not hold those before it (a checkpoint if none is given).
     """
-    if profile.budget is not None and (failed := responses.where("body is null").count()) > profile.budget:
-        raise RuntimeError(f"final failures: {failed}, budget {profile.budget}")
+    affordable(responses, profile)
     t = dict(baseline)
     for _, stage in STAGES:
         for name, rows in stage(spark, responses, profile, t, cut).items():

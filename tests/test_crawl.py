@@ -133,6 +133,16 @@ def test_budget(spark):
         crawl.run(spark, responses, crawl.Profile("now", budget=1), {})
 
 
+def test_budget_of_one_stage(spark, tmp_path):
+    at = lambda x: f"file://{tmp_path}/{x}"
+    (tmp_path / "old").mkdir()
+    (tmp_path / "responses.jsonl").write_text("\n".join(json.dumps({"method": "GET", "url": u, "body": None}) for u in "xy"))
+    (tmp_path / "profile.json").write_text(json.dumps({"budget": 1}))
+    with pytest.raises(RuntimeError, match="final failures: 2, budget 1"):
+        main(["crawl", "teachers", "--data", at("old"), "--responses", at("responses.jsonl"), "--profile", at("profile.json"), "--verified-at", "now", "--out", at("new")], spark)
+    assert not (tmp_path / "new").exists()
+
+
 def test_objects(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"x": 1}')
     (tmp_path / "b.json").write_text("[1]")
