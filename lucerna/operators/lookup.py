@@ -38,8 +38,11 @@ def nearest_within(points: DataFrame, targets: DataFrame, metres: float, cell: f
 
     Targets are copied to the nine cells about theirs and joined by cell.  Cells are at least as wide as the distance wherever targets
     are: their width in degrees of longitude follows the target farthest from the equator (one row from the cluster); cell (degrees) may
-    only widen them.  A task holds the points of a cell and the targets about it.
+    only widen them.  Points and targets of one place are one each, so what is compared are pairs of distinct places.  A task holds the
+    places of a cell and the targets' about it.
     """
+    targets = targets.groupBy("tlat", "tlng").agg(F.min("tid").alias("tid"))
+    places = points.select("lat", "lng").where("lat is not null and lng is not null").distinct()
     least = metres / 110_000.0  # a degree of latitude is longer
     far = targets.agg(F.max(F.abs("tlat"))).first()[0] or 0.0
     high = max(least, cell or 0.0)
@@ -47,6 +50,7 @@ def nearest_within(points: DataFrame, targets: DataFrame, metres: float, cell: f
     near = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
     spread = targets.withColumn("cx", F.floor(F.col("tlat") / high)).withColumn("cy", F.floor(F.col("tlng") / wide))
     spread = spread.withColumn("_x", near).withColumn("cx", F.col("cx") + F.col("_x")).withColumn("_y", near).withColumn("cy", F.col("cy") + F.col("_y"))
-    met = points.withColumn("cx", F.floor(F.col("lat") / high)).withColumn("cy", F.floor(F.col("lng") / wide)).join(spread, ["cx", "cy"])
+    met = places.withColumn("cx", F.floor(F.col("lat") / high)).withColumn("cy", F.floor(F.col("lng") / wide)).join(spread, ["cx", "cy"])
     met = met.withColumn("metres", haversine_m(F.col("lat"), F.col("lng"), F.col("tlat"), F.col("tlng"))).where(F.col("metres") <= metres)
-    return met.groupBy("pid").agg(F.min(F.struct("metres", "tid")).alias("m")).select("pid", "m.tid", "m.metres")
+    near = met.groupBy("lat", "lng").agg(F.min(F.struct("metres", "tid")).alias("m"))
+    return points.join(near, ["lat", "lng"]).groupBy("pid").agg(F.min("m").alias("m")).select("pid", "m.tid", "m.metres")
