@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rooms import alias_id, alias_labels, cascade, floor_from_codes, holds
-from ..functions.text import casefold, slug
+from ..functions.text import casefold, made, once, slug
 from .dedupe import first_wins
 
 # Ids that are never linked, and (where to look, parts, building) in order; `=` looks at the id, `url` at the address.
@@ -92,7 +92,7 @@ def _first_known(rows: DataFrame, wanted: Column, buildings: DataFrame, found: s
 
     Only distinct lists meet the buildings, so that one exchange of few rows serves any number of rules and no hot list is a hot task.
     """
-    rows = rows.withColumn("_w", F.filter(wanted, lambda x: x.isNotNull())).withColumn("_w", F.when(F.size("_w") > 0, F.to_json("_w")))
+    rows = rows.select("*", made(once(F.filter(wanted, lambda x: x.isNotNull()), lambda w: F.when(F.size(w) > 0, F.to_json(w)))).alias("_w"))
     lists = rows.where("_w is not null").select("_w").distinct()
     each = lists.select("_w", F.posexplode(F.from_json("_w", "array<string>")).alias("_i", "wanted")).join(_known(buildings), "wanted")
     return rows.join(each.groupBy("_w").agg(F.min_by("building", "_i").alias(found)), "_w", "left").drop("_w")
@@ -100,26 +100,35 @@ def _first_known(rows: DataFrame, wanted: Column, buildings: DataFrame, found: s
 
 def link_places(places: DataFrame, buildings: DataFrame) -> DataFrame:
     """places with building_id: a known one stays, else that of the first rule whose building is known, else what was there."""
-    text, url, key = casefold(F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in ("name", "description", "source_url", "access_notes")])), casefold(F.coalesce("source_url", F.lit(""))), casefold(F.col("place_id"))
+    text = casefold(F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in ("name", "description", "source_url", "access_notes")]))
+    said = F.struct(text.alias("text"), casefold(F.coalesce("source_url", F.lit(""))).alias("url"), casefold(F.col("place_id")).alias("key"))
+    inferred = once(said, lambda x: _inferred(x.text, x.url, x.getField("key")))
+    out = _first_known(places, F.concat(F.array("building_id"), inferred), buildings, "_found")
+    return out.withColumn("building_id", F.coalesce("_found", "building_id")).drop("_found")
+
+
+def _inferred(text: Column, url: Column, key: Column) -> Column:
+    """The buildings that the rules want, in order; null where a rule doesn't hold."""
     where = {"text": lambda p: holds(text, p), "url": lambda p: holds(url, p), "=": lambda p: key.isin(*p)}
     by_number = F.when(F.rlike(text, F.lit(CUBO)), F.concat(F.lit("cubo-"), F.regexp_extract(text, CUBO, 1), F.regexp_extract(text, CUBO, 2)))
     by_numbers = F.when(F.rlike(text, F.lit(CUBI)), F.concat(F.lit("cubi-"), F.regexp_extract(text, CUBI, 1), F.lit("-"), F.regexp_extract(text, CUBI, 2), F.lit("*")))
     named = [F.when(where[k](parts), F.lit(target)) for k, parts, target in PLACE_RULES]
-    inferred = F.when(F.coalesce(~key.isin(*NOT_LINKED), F.lit(True)), F.array(by_number, by_numbers, *named)).otherwise(F.array().cast("array<string>"))
-    out = _first_known(places, F.concat(F.array("building_id"), inferred), buildings, "_found")
-    return out.withColumn("building_id", F.coalesce("_found", "building_id")).drop("_found")
+    return F.when(F.coalesce(~key.isin(*NOT_LINKED), F.lit(True)), F.array(by_number, by_numbers, *named)).otherwise(F.array().cast("array<string>"))
 
 
 def buildings_in_text(rows: DataFrame, key: str, text: str, buildings: DataFrame) -> DataFrame:
     """(key, building) of every known building that the text names by number, shed or name."""
-    t = casefold(F.col(text))
+    ids = buildings.where("building_id is not null").select(F.col("building_id").alias("building")).distinct()
+    only = ids.where(F.startswith("building", F.lit("polifunzionale"))).agg(F.min("building").alias("building"), F.max("building").alias("_m")).where("building = _m").select(F.lit("polifunzionale*").alias("wanted"), "building")
+    wanted = rows.select(key, F.explode(F.array_distinct(once(casefold(F.col(text)), _wanted_by))).alias("wanted"))
+    return wanted.join(ids.select(F.col("building").alias("wanted"), "building").unionByName(only), "wanted").select(key, "building").distinct()
+
+
+def _wanted_by(t: Column) -> Column:
     tidy = lambda head, found: F.transform(found, lambda x: F.concat(F.lit(head), F.regexp_replace(x, r"(?U)[\s/-]+", "")))
     named = F.array(F.when(F.contains(t, F.lit("orto botanico")), F.lit("orto-botanico")), F.when(holds(t, (" cla ", "centro linguistico", "centro-linguistico")), F.lit(LANGUAGES)), F.when(F.contains(t, F.lit("polifunzionale")), F.lit("polifunzionale*")))
     numbers = F.transform(F.regexp_extract_all(t, F.lit(CUBO), F.lit(0)), lambda x: F.regexp_replace(x, "^cubo", ""))
-    wanted = F.concat(tidy("cubo-", numbers), tidy("cubo-", F.regexp_extract_all(t, F.lit(CUBO_BARE), F.lit(1))), tidy("capannone-", F.regexp_extract_all(t, F.lit(SHED), F.lit(1))), named)
-    ids = buildings.where("building_id is not null").select(F.col("building_id").alias("building")).distinct()
-    only = ids.where(F.startswith("building", F.lit("polifunzionale"))).agg(F.min("building").alias("building"), F.max("building").alias("_m")).where("building = _m").select(F.lit("polifunzionale*").alias("wanted"), "building")
-    return rows.select(key, F.explode(F.array_distinct(wanted)).alias("wanted")).join(ids.select(F.col("building").alias("wanted"), "building").unionByName(only), "wanted").select(key, "building").distinct()
+    return F.concat(tidy("cubo-", numbers), tidy("cubo-", F.regexp_extract_all(t, F.lit(CUBO_BARE), F.lit(1))), tidy("capannone-", F.regexp_extract_all(t, F.lit(SHED), F.lit(1))), named)
 
 
 def _in_family(rules, value) -> Column:
@@ -130,7 +139,7 @@ def _in_family(rules, value) -> Column:
 
 def _seen(rooms: DataFrame) -> DataFrame:
     clean = lambda c: F.nullif(F.upper(F.trim(c)), F.lit(""))
-    return rooms.withColumn("_r", F.struct(casefold(F.coalesce("source_url", F.lit(""))).alias("url"), casefold(F.coalesce("name", F.lit(""))).alias("name"), F.coalesce(clean("short_code"), clean("room"), F.lit("")).alias("code"), F.trim("building_id").alias("building")))
+    return rooms.select("*", made(F.struct(casefold(F.coalesce("source_url", F.lit(""))).alias("url"), casefold(F.coalesce("name", F.lit(""))).alias("name"), F.coalesce(clean("short_code"), clean("room"), F.lit("")).alias("code"), F.trim("building_id").alias("building"))).alias("_r"))
 
 
 def _move(rooms: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import rooms
 from ..operators import documents, places
 from ..sources import markup, requests
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .registry import query
 
 # A text about a building for every part: a numbered block with a letter, a shed, or a bare code.
@@ -17,7 +17,7 @@ HINT = r"case p_partkey % 3 when 1 then 'Capannone ' || upper(substr(p_name, 2,
 
 
 def _part(spark, d) -> DataFrame:
-    return table(spark, d, "part").withColumn("said", F.expr(SAID))
+    return spread(table(spark, d, "part")).withColumn("said", F.expr(SAID))
 
 
 @query(f"select p_partkey, {HINT} as hint from part")
@@ -31,20 +31,20 @@ FLOOR_LIST = "['Piano Terra', 'Primo piano', 'Secondo piano', 'Terzo piano', 'Qu
 @query(f"select p_partkey, case when p_name like 'large%' then 'Sesto piano' else {FLOOR_LIST}[p_size % 10 + 1] end as floor from part")
 def floor_labels(spark, d):
     said = F.expr("case when p_name like 'large%' then 'sul ponte  carrabile' when p_partkey % 2 = 0 then p_name || ' piano ' || (p_size % 10) else (p_size % 10) || '° Piano' end")
-    return table(spark, d, "part").select("p_partkey", rooms.floor_label(said).alias("floor"))
+    return spread(table(spark, d, "part")).select("p_partkey", rooms.floor_label(said).alias("floor"))
 
 
 @query("select p_partkey, case when p_partkey % 4 = 3 then null when p_size * 150 between 1 and 5000 then cast(p_size * 150 as integer) end as seats from part")
 def seat_counts(spark, d):
     said = F.expr("case p_partkey % 4 when 0 then 'capienza: ' || (p_size * 150) when 1 then p_name || ' ' || (p_size * 150) || ' persone' when 2 then '' || (p_size * 150) else p_name end")
-    return table(spark, d, "part").select("p_partkey", rooms.capacity(said).alias("seats"))
+    return spread(table(spark, d, "part")).select("p_partkey", rooms.capacity(said).alias("seats"))
 
 
 @query("""select p_partkey, p_name || '|' || c || '|Aula ' || c || '|' || s || '|Aula ' || s as labels
 from (select p_partkey, p_name, upper(replace(p_brand, '#', '')) as c, upper(replace(p_brand, '#', ' ')) as s from part)""")
 def room_aliases(spark, d):
     labels = rooms.alias_labels(F.col("p_name"), F.lit(None).cast("string"), F.replace("p_brand", F.lit("#"), F.lit("")))
-    return table(spark, d, "part").select("p_partkey", F.array_join(labels, "|").alias("labels"))
+    return spread(table(spark, d, "part")).select("p_partkey", F.array_join(labels, "|").alias("labels"))
 
 
 BLOCKS = "select distinct 'cubo-' || (s_suppkey % 40) || case when s_acctbal > 4000 then 's' else 'l' end as building_id from supplier union select 'capannone-a' union select 'capannone-m' union select 'aula-magna' union select 'polifunzionale'"
@@ -70,7 +70,7 @@ def regex_links(spark, d):
 
 def _rooms(spark, d) -> DataFrame:
     url = "case p_partkey % 3 when 0 then 'https://dispes.unical.it/dipartimento/organizzazione/strutture/' when 1 then 'https://dinci.unical.it/dipartimento/organizzazione/strutture/' end as source_url"
-    return table(spark, d, "part").selectExpr("'p-' || p_partkey as place_id", "'Aula ' || p_name || case when p_type = 'PROMO' then ' Giannattasio' else '' end as name", "cast(null as string) as room", "substr(p_name, 1, 1) || (p_size % 4) as short_code", url, "cast(null as string) as building_id", "cast(null as string) as floor", "p_size as capacity", "cast(array() as array<string>) as search_tokens")
+    return spread(table(spark, d, "part")).selectExpr("'p-' || p_partkey as place_id", "'Aula ' || p_name || case when p_type = 'PROMO' then ' Giannattasio' else '' end as name", "cast(null as string) as room", "substr(p_name, 1, 1) || (p_size % 4) as short_code", url, "cast(null as string) as building_id", "cast(null as string) as floor", "p_size as capacity", "cast(array() as array<string>) as search_tokens")
 
 
 def _no_places(spark) -> DataFrame:
@@ -128,7 +128,7 @@ union all select row, 'kind', 'required' from p where p_type = 'SMALL' union all
 union all select row, 'price', 'type' from p union all select row, '', 'additionalProperties' from p where p_size > 40""")
 def schema_file_errors(spark, d):
     line = F.to_json(F.struct(F.col("p_partkey").cast("string").alias("id"), F.col("p_size").alias("size"), F.expr("nullif(p_type, 'SMALL') as kind"), F.col("p_retailprice").alias("price"), F.expr("case when p_size > 40 then 1 end as more")))
-    return documents.schema_errors(table(spark, d, "part").select(F.col("p_partkey").cast("int").alias("row"), line.alias("v")), PART_SCHEMA)
+    return documents.schema_errors(spread(table(spark, d, "part")).select(F.col("p_partkey").cast("int").alias("row"), line.alias("v")), PART_SCHEMA)
 
 
 ATTEMPTS = "select user_id as request, cast(row_number() over (partition by user_id order by ts, event_id) as integer) as attempt, case event_type when 'purchase' then 200 when 'view' then 503 when 'click' then 429 when 'error' then 404 end as status from events"

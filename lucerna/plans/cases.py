@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import people, rooms, services, text, urls
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .registry import QUERIES, SQL
 
 
@@ -24,7 +24,7 @@ def cases(name: str, found, *rows: tuple) -> None:
     expected = [r[-1] for r in rows]
 
     def run(spark, d) -> DataFrame:
-        part = table(spark, d, "part").select("p_partkey", *[F.expr(pick(v)).alias(f"x{i}") for i, v in enumerate(inputs)])
+        part = spread(table(spark, d, "part")).select("p_partkey", *[F.expr(pick(v)).alias(f"x{i}") for i, v in enumerate(inputs)])
         return part.select("p_partkey", found(*[F.col(f"x{i}") for i in range(len(inputs))]).alias("found"))
 
     run.__name__ = run.__qualname__ = name

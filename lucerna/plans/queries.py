@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions import text, urls
 from ..operators import coverage, dedupe, integrity, links, lookup, merge, rules
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .registry import QUERIES, SQL, query
 
 SLUG = r"trim(regexp_replace(lower(regexp_replace(strip_accents({}), '[^\x00-\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '-')"
@@ -23,19 +23,19 @@ def slug_keys(spark, d):
 
 @query(f"select p_partkey, case when len(t) >= 2 then array_to_string(t, '-') end as name_key from (select p_partkey, list_sort(list_distinct(list_filter(string_split({SLUG.format('p_name')}, '-'), lambda x: length(x) > 1))) as t from part)")
 def name_keys(spark, d):
-    return table(spark, d, "part").select("p_partkey", text.name_key("p_name").alias("name_key"))
+    return spread(table(spark, d, "part")).select("p_partkey", text.name_key("p_name").alias("name_key"))
 
 
 @query(r"""select c_custkey, array_to_string(list_prepend(t[-1], t[1:-2]), '-') as person_id, 'office-' || array_to_string(t, '-') as place_id
 from (select c_custkey, string_split(trim(regexp_replace(lower(c_name), '[^a-z0-9]+', '-', 'g'), '-'), '-') as t from customer)""")
 def entity_ids(spark, d):
-    return table(spark, d, "customer").select("c_custkey", text.person_id("c_name").alias("person_id"), text.place_id(F.lit("OFFICE"), F.col("c_name")).alias("place_id"))
+    return spread(table(spark, d, "customer")).select("c_custkey", text.person_id("c_name").alias("person_id"), text.place_id(F.lit("OFFICE"), F.col("c_name")).alias("place_id"))
 
 
 @query(r"""select p_partkey, case when base = b or ends_with(base, '-' || b) then base else base || '-' || b end as room_id
 from (select p_partkey, regexp_replace(trim(regexp_replace(lower('Aula ' || p_name), '[^a-z0-9]+', '-', 'g'), '-'), '^aula-', '') as base, trim(regexp_replace(lower(p_brand), '[^a-z0-9]+', '-', 'g'), '-') as b from part)""")
 def room_ids(spark, d):
-    return table(spark, d, "part").select("p_partkey", text.room_id(F.concat(F.lit("Aula "), "p_name"), F.lit(None).cast("string"), F.col("p_brand")).alias("room_id"))
+    return spread(table(spark, d, "part")).select("p_partkey", text.room_id(F.concat(F.lit("Aula "), "p_name"), F.lit(None).cast("string"), F.col("p_brand")).alias("room_id"))
 
 
 @query(r"select doc_id, trim(regexp_replace(text, '[\s\x0b\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')) as collapsed from documents")
@@ -45,7 +45,7 @@ def collapse_ws(spark, d):
 
 @query("select p_partkey, regexp_replace(regexp_replace(upper(regexp_replace(p_brand, '[\\s\\-_./]+', '', 'g')), '([0-9])([A-Z])', '\\1 \\2', 'g'), '([A-Z])([0-9])', '\\1 \\2', 'g') as code from part")
 def code_labels(spark, d):
-    return table(spark, d, "part").select("p_partkey", text.split_alnum(text.compact_code("p_brand")).alias("code"))
+    return spread(table(spark, d, "part")).select("p_partkey", text.split_alnum(text.compact_code("p_brand")).alias("code"))
 
 
 ORDER_ALL = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -229,7 +229,7 @@ def override_rules(spark, d):
 @query(r"""select p_partkey, key, label from (select p_partkey, trim(regexp_replace(lower(label), '[^a-z0-9]+', '-', 'g'), '-') as key, label, prio from (select p_partkey, unnest([p_name, p_brand, p_name || ' ' || p_brand, upper(p_name)]) as label, unnest([1, 2, 3, 4]) as prio from part)) qualify row_number() over (partition by p_partkey, key order by prio) = 1""")
 def alias_build(spark, d):
     labels = F.posexplode(F.array(F.col("p_name"), F.col("p_brand"), F.concat_ws(" ", "p_name", "p_brand"), F.upper("p_name"))).alias("prio", "label")
-    rows = table(spark, d, "part").select("p_partkey", labels).withColumn("key", text.slug("label"))
+    rows = spread(table(spark, d, "part")).select("p_partkey", labels).withColumn("key", text.slug("label"))
     return dedupe.first_wins(rows, ["p_partkey", "key"], ["prio"]).select("p_partkey", "key", "label")
 
 
@@ -337,12 +337,12 @@ def paginate(spark, d):
 
 @query(f"select p_partkey, array_to_string(list_sort(list_distinct([s, replace(s, '-', ''), regexp_replace(s, '^aula-', ''), lower(p_brand), {SLUG.format('p_type')}])), ' ') as tokens from (select *, {SLUG.format("'Aula ' || p_name")} as s from part)")
 def search_tokens(spark, d):
-    return table(spark, d, "part").select("p_partkey", F.array_join(text.search_tokens(F.concat(F.lit("Aula "), "p_name"), F.col("p_brand"), F.col("p_type")), " ").alias("tokens"))
+    return spread(table(spark, d, "part")).select("p_partkey", F.array_join(text.search_tokens(F.concat(F.lit("Aula "), "p_name"), F.col("p_brand"), F.col("p_type")), " ").alias("tokens"))
 
 
 def flagship(spark, d):
     """How complete each brand's parts are, once repeated names are gone."""
-    part = table(spark, d, "part").withColumn("slug", text.slug("p_name"))
+    part = spread(table(spark, d, "part")).withColumn("slug", text.slug("p_name"))
     kept = dedupe.first_wins(part, ["slug", "p_brand"], ["p_partkey"])
     return coverage.coverage(kept, {"sized": F.col("p_size") > 25}, ["p_brand"]).orderBy("p_brand")
 
