@@ -7,8 +7,9 @@ from lucerna.operators import lookup, places
 from lucerna.sources import tables
 
 
-def size(rows) -> int:
-    return len(rows._jdf.queryExecution().optimizedPlan().toString())
+def uses(rows, of: str) -> int:
+    """How often a function stands in the plan."""
+    return rows._jdf.queryExecution().optimizedPlan().toString().count(f"{of}(")
 
 
 def test_crowded_places_are_compared_once(spark):
@@ -19,3 +20,38 @@ def test_crowded_places_are_compared_once(spark):
     assert found.groupBy("tid", F.round("metres").alias("m")).count().orderBy("m").collect() == [(0, 0.0, 50_000), (0, 111.0, 50_000)]
     again = points.limit(1).unionByName(points.limit(1).withColumn("lat", F.lit(39.3605)))
     assert [tuple(r) for r in lookup.nearest_within(again, targets, 250).collect()] == [(0, 0, 0.0)]
+
+
+def test_uses_of_a_text_do_not_multiply(spark):
+    """What names and floors are read from stands in the plan a few times and not once for each use of each use."""
+    rows = spark.createDataFrame([("Sala x piano terra",)], "x string")
+    assert uses(rows.select(rooms.planner_room_name("x")), "regexp_replace") < 30
+    assert uses(rows.select(rooms.floor_label("x")), "lower") < 5
+    assert uses(rows.select(text.search_tokens("x", F.lit("c"), F.lit("b"))), "lower") < 8
+    assert uses(rows.select(rooms.alias_labels("x", F.lit(None).cast("string"), F.lit("a"))), "lower") < 5
+
+
+def test_links_are_inferred_once(spark):
+    rows = spark.createDataFrame([("p", "Aula Magna", None, None, None, None)], "place_id string, name string, description string, source_url string, access_notes string, building_id string")
+    out = places.link_places(rows, spark.createDataFrame([("aula-magna",)], "building_id string"))
+    assert out.first().building_id == "aula-magna" and uses(out, "lower") < 30
+
+
+def test_letters_are_ruled_out_by_ascii_first(spark):
+    """A long text with one letter that is several is folded letter by letter, and no ASCII letter is compared with all of the class."""
+    rows = spark.range(1).select(F.concat(F.repeat(F.lit("abc "), 200_000), F.lit("ﬃ Șß")).alias("x"))
+    assert rows.select(F.substring(text.slug("x"), -6, 6), F.substring(text.casefold("x"), -7, 7)).first() == ("-ffi-s", "ffi șss")
+
+
+def test_rows_of_one_file_are_dealt_over_the_cores(spark, tmp_path):
+    spark.range(10_000).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    dealt = tables.spread(tables.table(spark, str(tmp_path), "part")).groupBy(F.spark_partition_id()).count().collect()
+    assert len(dealt) >= spark.sparkContext.defaultParallelism and sum(r[1] for r in dealt) == 10_000
+
+
+def test_plans_of_rooms_are_cut(spark):
+    """Each step reads the rooms before several times; read from the tables each time they grow to hundreds of scans."""
+    from lucerna.plans.queries import QUERIES
+
+    for name in ("place_merge_ranked", "room_merge_ranked", "room_backfill"):
+        assert QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 0, name
