@@ -15,7 +15,7 @@ import tempfile
 
 import numpy as np
 
-from .common import window_hashes
+from .common import powers
 
 BASE = 0xA0761D6478BD642F
 
@@ -123,6 +123,13 @@ def _induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, size: int, memo
         store.close()
 
 
+def _tied(rank: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Those, listed in the order of their ranks, that share a rank; a rank is the number of smaller ones."""
+    r = rank[some]
+    same = r[1:] == r[:-1]
+    return some[np.append(same, False) | np.concatenate([[False], same])] if len(some) else some
+
+
 def suffix_order(text: np.ndarray, depth: int, memory: int = 64 << 20) -> np.ndarray:
     """Positions of text (values from 1) in the order of their suffixes; those that agree in `depth` values may be in any order."""
     t = np.append(text, 0).astype(np.uint16)
@@ -137,21 +144,28 @@ def suffix_order(text: np.ndarray, depth: int, memory: int = 64 << 20) -> np.nda
     number = np.empty(n, np.int32)
     number[seeds] = np.arange(len(seeds))
     k = number[order]
-    from .common import powers
-
     p, inverse = powers(BASE, n)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((t.astype(np.uint64) + np.uint64(1)) * p, dtype=np.uint64)])
     sign = (total[ends[k] + 1] - total[seeds[k]]) * inverse[seeds[k]]
     new = np.ones(len(k), bool)
     new[1:] = (sign[1:] != sign[:-1]) | (ends[k][1:] - seeds[k][1:] != ends[k][:-1] - seeds[k][:-1])
     rank = np.empty(len(k), np.int64)
-    rank[k] = np.cumsum(new) - 1
-    reach, m = 1, len(k)
-    while rank.max(initial=0) < m - 1 and reach <= depth // 2 + 1:  # a substring has two values at least
-        behind = np.zeros(m, np.int64)
-        behind[: m - reach] = rank[reach:] + 1
-        rank = np.unique(rank * (m + 1) + behind, return_inverse=True)[1].astype(np.int64)
+    rank[k] = np.maximum.accumulate(np.where(new, np.arange(len(k)), 0))
+    deep = np.append(seeds, n).astype(np.int64)
+    reach, m, tied = 1, len(k), _tied(rank, k)
+    while len(tied) and reach <= depth // 2 + 1:  # a substring has two values at least
+        key = rank[tied] * (m + 1)
+        inside = tied + reach < m
+        key[inside] += rank[tied[inside] + reach] + 1
+        order = np.argsort(key)
+        key, tied = key[order], tied[order]
+        group, at = rank[tied], np.arange(len(tied))
+        first = np.maximum.accumulate(np.where(np.concatenate([[True], group[1:] != group[:-1]]), at, 0))
+        head = np.maximum.accumulate(np.where(np.concatenate([[True], key[1:] != key[:-1]]), at, 0))
+        rank[tied] = group + head - first
         reach *= 2
+        tied = _tied(rank, tied)
+        tied = tied[deep[np.minimum(tied + reach, m)] - seeds[tied] < depth]  # agree as far as asked for
     seeds = seeds[np.argsort(rank, kind="stable")]
     return _induce(t, small, seeds, size, memory)[1:]
 
@@ -170,18 +184,18 @@ def repeated(segments: list[bytes], widths: tuple[int, ...], memory: int = 64 <<
     if starts_of is not None:
         place = np.arange(len(text)) - np.repeat(starts, sizes + 1)
         room[place >= np.repeat(np.array(starts_of, np.int64), sizes + 1)] = 0
-    wide = text.astype(np.uint64)
-    del text
+    owns = [order[room[order] >= width].astype(np.int64) for width in widths]
+    same = [np.ones(max(0, len(own) - 1), bool) for own in owns]
+    for base in (BASE, 0xE7037ED1A0B428DB):
+        p, inverse = powers(base, len(text))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(text * p, dtype=np.uint64)])
+        for width, own, equal in zip(widths, owns, same):
+            h = (total[own + width] - total[own]) * inverse[own]
+            equal &= h[1:] == h[:-1]
     found = []
-    for width in widths:
-        own = order[room[order] >= width]
+    for own, equal in zip(owns, same):
         out = np.zeros(len(room), bool)
-        if len(own) > 1:
-            same = np.ones(len(own) - 1, bool)
-            for base in (BASE, 0xE7037ED1A0B428DB):
-                h = window_hashes(wide, width, base)[own]
-                same &= h[1:] == h[:-1]
-            out[own[1:][same]] = True
-            out[own[:-1][same]] = True
+        out[own[1:][equal]] = True
+        out[own[:-1][equal]] = True
         found.append(out)
     return [tuple(np.flatnonzero(out[s : s + k]) for out in found) for s, k in zip(starts, sizes)]

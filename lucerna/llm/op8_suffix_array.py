@@ -1,6 +1,6 @@
 """Suffix-array dedup over bytes by external induced sorting.
 
-A string of LEAST bytes is keyed by the least hash of its 24-byte substrings, so equal strings have equal keys wherever they stand, and so
+A string of LEAST bytes is keyed by the least hash of its 64-byte substrings, so equal strings have equal keys wherever they stand, and so
 have the 400-byte strings that begin with them.  Neighbouring strings of one key make a segment of a document, to the end of the last
 400-byte string that begins in it.
 
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, documents, having, ids, raw, slices, spans_of, texts, window_hashes
 from .induced import repeated
 
-WIDTH, LEAST, GRAM = 400, 256, 24
+WIDTH, LEAST, GRAM = 400, 256, 64
 SHARD, MEMORY = 2 << 20, 64 << 20
 NOTHING = hashlib.sha256(b"").hexdigest()
 BASE = 0x9E3779B97F4A7C15
