@@ -24,3 +24,14 @@ def test_short_phrases_rule_no_string_in():
     docs = [np.concatenate([r.integers(1, 250, 130).astype(np.uint8), phrase, r.integers(1, 250, 130).astype(np.uint8)]) for _ in range(100)]
     keys = [set(segments(x, np.array([0, len(x)]))[1].tolist()) for x in docs]
     assert sum(map(len, keys)) == len(set().union(*keys))
+
+
+def test_blocks_of_contexts_are_kept_small():
+    """op6_pitman_yor_scores: a block comes back as it was, and its numbers are compressed by bytes of one weight."""
+    from lucerna.llm.op6_pitman_yor import joined, large, planes, small
+
+    for kind in ("<u2", "<u4"):
+        x = np.random.default_rng(1).integers(0, 300, 5000).astype(kind)
+        for part in (x, x[:0], x[:1]):
+            assert joined(np.frombuffer(large(small(planes(part).tobytes())), np.uint8), kind).tolist() == part.tolist()
+        assert len(small(planes(x).tobytes())) < 1.3 * 5000
