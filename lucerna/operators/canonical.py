@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import people as P
-from ..functions.text import casefold, collapse, name_key, none_if_empty, person_id, place_id, slug
+from ..functions.text import casefold, collapse, made, name_key, none_if_empty, person_id, place_id, slug
 from ..functions.urls import host, local_part
 from .dedupe import first_wins
 from .lookup import priority_lookup, unique_only
@@ -20,25 +22,32 @@ def _given(c: str) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
 
+def _with(rows: DataFrame, column: str, value: Column) -> DataFrame:
+    """rows with a generated column.  A filter on a plain one is evaluated before rows are dealt over the cores: a whole file in one task."""
+    return rows.select(*[c for c in rows.columns if c != column], made(value).alias(column))
+
+
 def _stamp(source: str, at: str) -> list[Column]:
     return [F.lit(source).alias("source_id"), F.col("source_url"), F.lit(at).alias("last_verified_at")]
 
 
 def buildings(raw: DataFrame, source: str, at: str) -> DataFrame:
     """building_id, name, category, description, coordinates to seven places."""
-    rows = raw.withColumn("_called", P.building_name("name")).where("_called is not null").withColumn("building_id", slug("_called")).where("building_id <> ''")
+    rows = _with(raw, "_called", P.building_name("name")).where("_called is not null")
+    rows = _with(rows, "building_id", slug("_called")).where("building_id <> ''")
     rows = first_wins(rows, ["building_id"], ["ordinal"])
     return rows.select("building_id", F.col("_called").alias("name"), P.building_category("_called").alias("category"), P.building_description("description").alias("description"), F.bround("lat", 7).alias("lat"), F.bround("lng", 7).alias("lng"), *_stamp(source, at))
 
 
 def departments(raw: DataFrame, source: str, at: str) -> DataFrame:
-    rows = raw.withColumn("_called", none_if_empty("name")).where("_called is not null").withColumn("department_id", slug("_called")).where("department_id <> ''")
+    rows = _with(raw, "_called", none_if_empty("name")).where("_called is not null")
+    rows = _with(rows, "department_id", slug("_called")).where("department_id <> ''")
     return first_wins(rows, ["department_id"], ["ordinal"]).select("department_id", F.col("_called").alias("name"), _given("email").alias("email"), _given("phone").alias("phone"), _given("website_url").alias("website_url"), *_stamp(source, at))
 
 
 def services(raw: DataFrame, source: str, at: str) -> DataFrame:
     """Places of the service's type, SERVICE by default."""
-    rows = raw.withColumn("_called", none_if_empty("name")).where("_called is not null").withColumn("_t", F.coalesce(_given("service_type"), F.lit("SERVICE"))).withColumn("place_id", place_id(F.col("_t"), F.col("_called")))
+    rows = _with(raw, "_called", none_if_empty("name")).where("_called is not null").withColumn("_t", F.coalesce(_given("service_type"), F.lit("SERVICE"))).withColumn("place_id", place_id(F.col("_t"), F.col("_called")))
     kept = first_wins(rows, ["place_id"], ["ordinal"])
     return kept.select("place_id", F.col("_t").alias("type"), F.col("_called").alias("name"), *[_given(c).alias(c) for c in ("description", "email", "phone", "website_url", "opening_hours")], *_stamp(source, at))
 
@@ -65,13 +74,14 @@ def department_keys(departments: DataFrame) -> DataFrame:
 
 def resolve_department(rows: DataFrame, keys: DataFrame, name: str, email: str, url: str, found: str) -> DataFrame:
     """The department that a raw name, else an address or a site means: id, name, acronym, an acronym within by place, domains."""
-    n = none_if_empty(name)
+    n = F.col("_n")
     looked = {"id": slug(n), "name": P.department_key(n), "acronym": F.upper(n), "mail": P.domain_alias(F.get(F.split(email, "@", 2), F.lit(1))), "site": P.domain_alias(host(url))}
     sites = keys.where("kind = 'domain'")
     side = keys.where("kind <> 'domain'").unionByName(sites.withColumn("kind", F.lit("_mail"))).unionByName(sites.withColumn("kind", F.lit("_site"))).withColumn("kind", F.regexp_replace("kind", "^(?!_)", "_"))
-    out = rows.withColumns({f"_{k}": v for k, v in looked.items()}).withColumn("_within", F.to_json(P.acronyms(n)))
+    out = _with(rows, "_n", none_if_empty(name)).withColumns({f"_{k}": v for k, v in looked.items()})
+    out = _with(out, "_within", P.acronyms(n)).drop("_n")
     # the acronyms of distinct names only are looked up, so a frequent name costs no more than a rare one
-    each = out.where("_within <> '[]'").select("_within").distinct().select("_within", F.posexplode(F.from_json("_within", "array<string>")).alias("_i", "key"))
+    each = out.where("size(_within) > 0").select("_within").distinct().select("_within", F.posexplode("_within").alias("_i", "key"))
     first = each.join(keys.where("kind = 'acronym'").select("key", "value"), "key").groupBy("_within").agg(F.min_by("value", "_i").alias("_by_word"))
     out = priority_lookup(out.join(first, "_within", "left"), ["_id", "_name", "_acronym"], side, "_a")
     out = priority_lookup(out, ["_mail", "_site"], side, "_b")
@@ -87,17 +97,17 @@ def teacher_keys(rows: DataFrame) -> DataFrame:
 
 def people(raw: DataFrame, departments: DataFrame | None, teachers: DataFrame | None, source: str, at: str) -> DataFrame:
     """Professors with id, department, office and notes.  Without departments the id is made from the raw name; teachers is (key, department_id)."""
-    rows = raw.withColumn("full_name", none_if_empty("full_name")).where("full_name is not null")
+    rows = _with(raw, "full_name", none_if_empty("full_name")).where("full_name is not null")
     rows = resolve_department(rows, department_keys(departments), "department_name", "email", "website_url", "_d") if departments is not None else rows.withColumn("_d", F.nullif(slug("department_name"), F.lit("")))
     if teachers is not None:
-        kind, side = F.regexp_extract("key", "^([a-z_]+):", 1), F.regexp_replace("key", "^[a-z_]+:", "")
-        names = {"department_code": "_code", "slug": "_slug", "email_local": "_local", "name": "_full", "name_key": "_key"}
-        typed = teachers.select(F.create_map(*[F.lit(x) for kv in names.items() for x in kv])[kind].alias("kind"), side.alias("key"), F.col("department_id").alias("value"))
-        typed = typed.unionByName(typed.where("kind = '_slug'").withColumn("kind", F.lit("_coded")))
+        # each kind is told by a plain prefix and has its own branch, so a lookup reads the map once and matches no pattern
+        names = {"_code": "department_code", "_slug": "slug", "_coded": "slug", "_local": "email_local", "_full": "name", "_key": "name_key"}
+        typed = [teachers.where(F.startswith("key", F.lit(f"{x}:"))).select(F.lit(k).alias("kind"), F.substring("key", len(x) + 2, 1 << 30).alias("key"), F.col("department_id").alias("value")) for k, x in names.items()]
+        typed = reduce(DataFrame.unionByName, typed)
         rows = priority_lookup(teacher_keys(rows), ["_code", "_slug", "_coded", "_local", "_full", "_key"], typed, "_t").withColumn("_d", F.coalesce("_d", "_t"))
     notes, reference = P.note(F.col("notes"), F.col("office_reference"))
     office = P.office_reference(F.col("office_reference"), F.col("notes"))
-    rows = rows.withColumn("person_id", person_id(F.col("full_name"), F.col("email"))).where("person_id is not null")
+    rows = _with(rows, "person_id", person_id(F.col("full_name"), F.col("email"))).where("person_id is not null")
     kept = first_wins(rows, ["person_id"], ["ordinal"])
     return kept.select("person_id", "full_name", F.lit("PROFESSOR").alias("role"), F.lower(_given("email")).alias("email"), _given("phone").alias("phone"), F.col("_d").alias("department_id"), _given("website_url").alias("website_url"), none_if_empty("office_hours").alias("office_hours"), F.when(P.is_office(office), P.office_id(office)).alias("office_place_id"), notes.alias("notes"), reference.alias("office_reference_text"), *_stamp(source, at))
 
@@ -105,7 +115,7 @@ def people(raw: DataFrame, departments: DataFrame | None, teachers: DataFrame |
 def offices(raw: DataFrame, buildings: DataFrame, meetings: tuple[str, ...], source: str, at: str) -> DataFrame:
     """OFFICE places of the references that name one, the first of an id.  The building is the only one that the reference names by number or name."""
     ref = P.office_reference(F.col("office_reference"), F.col("notes"))
-    rows = raw.withColumn("_ref", ref).where(P.is_office(F.col("_ref"))).withColumn("place_id", P.office_id(F.col("_ref")))
+    rows = _with(raw, "_ref", ref).where(P.is_office(F.col("_ref"))).withColumn("place_id", P.office_id(F.col("_ref")))
     rows = first_wins(rows, ["place_id"], ["ordinal"]).withColumn("_s", slug("_ref"))
     refs = rows.select("place_id", "_ref", "_s")
     named = buildings_in_text(refs, "place_id", "_ref", buildings)
