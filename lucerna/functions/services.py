@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .rooms import cascade, holds
-from .text import casefold, collapse
+from .text import casefold, collapse, once
 from .urls import absolute, scheme, service_url, site
 
 # Words of kinds of service, names and parts of names that are none, words of links and texts that lead elsewhere.
@@ -20,16 +20,15 @@ LINK_WORDS = ("cookie", "rss", "faq", "calendario", "concerto", "evento", "avvis
 
 def service_type(name, about=None) -> Column:
     text = casefold(F.concat_ws(" ", name, F.lit("") if about is None else about))
-    return cascade([(holds(text, words), F.lit(kind)) for kind, words in KINDS], F.lit("SERVICE"))
+    return once(text, lambda t: cascade([(holds(t, words), F.lit(kind)) for kind, words in KINDS], F.lit("SERVICE")))
 
 
 def is_noise_name(name) -> Column:
-    t = casefold(name)
-    return t.isin(*NO_NAMES) | holds(t, NO_NAME_PARTS)
+    return once(casefold(name), lambda t: t.isin(*NO_NAMES) | holds(t, NO_NAME_PARTS))
 
 
 def is_noise_description(text) -> Column:
-    return holds(casefold(text), NO_DESCRIPTION)
+    return once(casefold(text), lambda t: holds(t, NO_DESCRIPTION))
 
 
 def service_link(base, href, text) -> Column:
