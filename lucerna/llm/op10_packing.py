@@ -40,6 +40,17 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: A stop that ends a word.  The stop itself comes first in the pattern, so nothing but stops is looked at.
+ENDS = [(f" {c}", re.compile(rf"[{c}](?=\s|$)(?<=[^\W_][{c}])")) for c in ".,"]
+
+
+def stops_apart(text: str) -> str:
+    """The text with a blank before each stop that ends a word, so that the word is known with and without it."""
+    for parted, ending in ENDS:
+        text = ending.sub(parted, text)
+    return text
+
+
 def make_encoder(path: str, remember: int = 800_000):
     """A function from texts to the little-endian 32-bit ids of each.
 
@@ -55,16 +66,14 @@ def make_encoder(path: str, remember: int = 800_000):
     known: dict[str, bytes] = {}
     last = np.zeros(max(tok.get_vocab().values()) + 1, bool)  # ids that end a word
     last[[i for t, i in tok.get_vocab().items() if t.endswith("</w>")]] = True
-    ending = re.compile(r"(?<=[^\W_])([.,])(?=\s|$)")
-    control = re.compile("[\x1c-\x1f]")
 
     def words(text: str) -> list[str] | None:
-        if control.search(text):
+        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return None
         if "<|" not in text:
             try:
                 text.encode("latin-1")
-                text = ending.sub(r" \1", text.lower())
+                text = stops_apart(text.lower())
             except UnicodeEncodeError:
                 pass
         return text.split()
