@@ -110,8 +110,9 @@ def link_places(places: DataFrame, buildings: DataFrame) -> DataFrame:
 def _inferred(text: Column, url: Column, key: Column) -> Column:
     """The buildings that the rules want, in order; null where a rule doesn't hold."""
     where = {"text": lambda p: holds(text, p), "url": lambda p: holds(url, p), "=": lambda p: key.isin(*p)}
-    by_number = F.when(F.rlike(text, F.lit(CUBO)), F.concat(F.lit("cubo-"), F.regexp_extract(text, CUBO, 1), F.regexp_extract(text, CUBO, 2)))
-    by_numbers = F.when(F.rlike(text, F.lit(CUBI)), F.concat(F.lit("cubi-"), F.regexp_extract(text, CUBI, 1), F.lit("-"), F.regexp_extract(text, CUBI, 2), F.lit("*")))
+    numbered = F.contains(text, F.lit("cubo"))  # most texts have none, and are not searched
+    by_number = F.when(numbered & F.rlike(text, F.lit(CUBO)), F.concat(F.lit("cubo-"), F.regexp_extract(text, CUBO, 1), F.regexp_extract(text, CUBO, 2)))
+    by_numbers = F.when(numbered & F.rlike(text, F.lit(CUBI)), F.concat(F.lit("cubi-"), F.regexp_extract(text, CUBI, 1), F.lit("-"), F.regexp_extract(text, CUBI, 2), F.lit("*")))
     named = [F.when(where[k](parts), F.lit(target)) for k, parts, target in PLACE_RULES]
     return F.when(F.coalesce(~key.isin(*NOT_LINKED), F.lit(True)), F.array(by_number, by_numbers, *named)).otherwise(F.array().cast("array<string>"))
 
