@@ -184,9 +184,9 @@ def aliases(rooms: DataFrame, places: DataFrame, buildings: DataFrame, landmarks
     own = rooms.join(aula, "place_id", "left_semi").select(F.lit(0).alias("_p"), F.lit("PLACE").alias("entity_type"), F.col("place_id").alias("entity_id"), labels)
     listed = rooms.sparkSession.createDataFrame([(1, k, e, i, x) for k, e, ls in landmarks for i, x in enumerate(ls)], "_p int, entity_type string, entity_id string, _i int, label string")
     there = places.select(F.lit("PLACE").alias("entity_type"), F.col("place_id").alias("entity_id")).unionByName(buildings.select(F.lit("BUILDING").alias("entity_type"), F.col("building_id").alias("entity_id"))).distinct()
-    rows = own.unionByName(listed.join(there, ["entity_type", "entity_id"], "left_semi")).withColumn("normalized", slug("label")).where("normalized <> ''")
+    rows = own.unionByName(listed.join(there, ["entity_type", "entity_id"], "left_semi")).select("*", made(slug("label")).alias("normalized")).where("normalized <> ''")
     kept = first_wins(rows, ["entity_type", "entity_id", "normalized"], ["_p", "_i", "label"])
-    return kept.select(alias_id(F.col("entity_type"), F.col("entity_id"), F.col("label")).alias("alias_id"), "entity_type", "entity_id", "label", "normalized")
+    return kept.select(alias_id(F.col("entity_type"), F.col("entity_id"), F.col("normalized")).alias("alias_id"), "entity_type", "entity_id", "label", "normalized")
 
 
 #: Fields that a contract's entries may set.
